@@ -1,0 +1,5 @@
+"""No streaming operators.
+
+The analysed workload is batch only (no watermark, window or state anywhere), so
+this package stays empty on purpose; every operator runs as a batch DataFrame job.
+"""
