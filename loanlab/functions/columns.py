@@ -66,16 +66,19 @@ def date_span_days(start, end) -> Column:
     return F.datediff(F.to_date(_c(end)), F.to_date(_c(start)))
 
 
-def hash_u32(key, seed, salt: str = "") -> Column:
-    """Unsigned 32-bit hash of ``seed:salt:key`` from the first 8 hex digits of MD5.
+def hash_u32(key, seed, salt: str = "", salt_col=None) -> Column:
+    """Unsigned 32-bit hash of ``seed:[salt:][salt_col:]key`` from the first 8 hex
+    digits of MD5.
 
     Depends only on the key (never on partitioning or row order), so every
     sample/split below is reproducible on any cluster and by a SQL engine:
     ``('0x' || substr(md5(seed || ':' || key), 1, 8))::BIGINT`` in DuckDB.
     """
-    prefix = f"{seed}:{salt}:" if salt else f"{seed}:"
-    txt = F.concat(F.lit(prefix), _c(key).cast("string"))
-    return F.conv(F.substring(F.md5(txt), 1, 8), 16, 10).cast("bigint")
+    parts = [F.lit(f"{seed}:{salt}:" if salt else f"{seed}:")]
+    if salt_col is not None:
+        parts += [_c(salt_col).cast("string"), F.lit(":")]
+    parts.append(_c(key).cast("string"))
+    return F.conv(F.substring(F.md5(F.concat(*parts)), 1, 8), 16, 10).cast("bigint")
 
 
 def unit_hash(key, seed, salt: str = "") -> Column:
@@ -83,7 +86,10 @@ def unit_hash(key, seed, salt: str = "") -> Column:
     return hash_u32(key, seed, salt) / F.lit(TWO_32)
 
 
-def sql_hash_u32(key_sql: str, seed, salt: str = "") -> str:
+def sql_hash_u32(key_sql: str, seed, salt: str = "", salt_sql: str | None = None) -> str:
     """The DuckDB text of :func:`hash_u32` (used by the oracle queries)."""
     prefix = f"{seed}:{salt}:" if salt else f"{seed}:"
-    return f"CAST(('0x' || substr(md5('{prefix}' || CAST({key_sql} AS VARCHAR)), 1, 8)) AS BIGINT)"
+    txt = f"'{prefix}'"
+    if salt_sql is not None:
+        txt += f" || CAST({salt_sql} AS VARCHAR) || ':'"
+    return f"CAST(('0x' || substr(md5({txt} || CAST({key_sql} AS VARCHAR)), 1, 8)) AS BIGINT)"

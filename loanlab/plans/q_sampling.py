@@ -1 +1,123 @@
-"""placeholder"""
+"""Queries: sampling and splitting and fold score summaries (G10)."""
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from loanlab.functions.columns import TWO_32, sql_hash_u32
+from loanlab.operators import profile, sampling
+from loanlab.plans.registry import register, rounded
+from loanlab.plans.sqltext import loans_sql, purchases_sql, scored_sql
+from loanlab.sources.fixtures import loans, purchases, scored
+
+SEED = 111
+
+
+@register("hash_sample", purchases_sql(body=(
+    f"SELECT event_id, label FROM purchases WHERE {sql_hash_u32('event_id', SEED)} < {int(0.1 * TWO_32)}")))
+def q_hash_sample(spark, sf):
+    return sampling.hash_sample(purchases(spark, sf), "event_id", 0.1, SEED).select("event_id", "label")
+
+
+@register("train_test_split", loans_sql(body=(
+    f"SELECT loan_id, CAST(rn < FLOOR(n * 0.75) AS INTEGER) AS is_train FROM ("
+    f"SELECT loan_id, ROW_NUMBER() OVER (ORDER BY {sql_hash_u32('loan_id', SEED, 'split')}, loan_id) - 1 AS rn, "
+    f"COUNT(*) OVER () AS n FROM loans)")))
+def q_train_test_split(spark, sf):
+    return sampling.split_flag(loans(spark, sf).select("loan_id"), "loan_id", 0.75, SEED)
+
+
+@register("train_test_split_threshold", loans_sql(body=(
+    f"SELECT loan_id, CAST({sql_hash_u32('loan_id', SEED, 'split')} < {int(0.75 * TWO_32)} AS INTEGER) AS is_train FROM loans")))
+def q_train_test_split_threshold(spark, sf):
+    return sampling.split_flag(loans(spark, sf).select("loan_id"), "loan_id", 0.75, SEED, exact=False)
+
+
+@register("stratified_shuffle_split", purchases_sql(body=(
+    "SELECT split, event_id, label, CAST(rn < FLOOR(n * 0.25) AS INTEGER) AS is_train FROM ("
+    "SELECT split, event_id, label, ROW_NUMBER() OVER (PARTITION BY split, label ORDER BY "
+    f"{sql_hash_u32('event_id', SEED, 'sss', 'split')}, event_id) - 1 AS rn, "
+    "COUNT(*) OVER (PARTITION BY split, label) AS n "
+    "FROM purchases, (SELECT CAST(range AS INTEGER) AS split FROM range(4)) s)")))
+def q_stratified_shuffle_split(spark, sf):
+    df = purchases(spark, sf).select("event_id", "label")
+    return sampling.stratified_shuffle_split(df, "event_id", "label", n_splits=4, train_frac=0.25, seed=SEED)
+
+
+@register("kfold_assign", loans_sql(body=(
+    f"SELECT loan_id, CAST((ROW_NUMBER() OVER (ORDER BY {sql_hash_u32('loan_id', SEED, 'kfold')}, loan_id) - 1) % 3 AS INTEGER) "
+    "AS fold FROM loans")))
+def q_kfold_assign(spark, sf):
+    return sampling.kfold_assign(loans(spark, sf).select("loan_id"), "loan_id", 3, SEED)
+
+
+@register("stratified_kfold", purchases_sql(body=(
+    "SELECT event_id, label, CAST((ROW_NUMBER() OVER (PARTITION BY label ORDER BY "
+    f"{sql_hash_u32('event_id', SEED, 'skfold')}, event_id) - 1) % 5 AS INTEGER) AS fold FROM purchases")))
+def q_stratified_kfold(spark, sf):
+    return sampling.stratified_kfold(purchases(spark, sf).select("event_id", "label"), "event_id", "label", 5, SEED)
+
+
+@register("under_sample", purchases_sql(body=(
+    "SELECT event_id, label FROM (SELECT event_id, label, ROW_NUMBER() OVER (PARTITION BY label ORDER BY "
+    f"{sql_hash_u32('event_id', SEED, 'rus')}, event_id) - 1 AS rn FROM purchases) "
+    "WHERE rn < (SELECT MIN(c) FROM (SELECT COUNT(*) AS c FROM purchases GROUP BY label))")))
+def q_under_sample(spark, sf):
+    return sampling.under_sample(purchases(spark, sf).select("event_id", "label"), "event_id", "label", SEED)
+
+
+def _over_sql():
+    rk = (f"ROW_NUMBER() OVER (PARTITION BY label ORDER BY {sql_hash_u32('event_id', SEED, 'ros')}, event_id) - 1")
+    return purchases_sql(
+        f"r AS (SELECT event_id, label, {rk} AS rn FROM purchases)",
+        "m AS (SELECT COUNT(*) AS nmin FROM purchases WHERE label = 1)",
+        f"d AS (SELECT rn - nmin AS draw, nmin FROM r, m WHERE label <> 1 AND rn >= nmin)",
+        f"p AS (SELECT draw, {sql_hash_u32('draw', SEED, 'draw')} % nmin AS pick FROM d)",
+        body=("SELECT event_id, label, CAST(NULL AS BIGINT) AS draw FROM purchases UNION ALL "
+              "SELECT r.event_id, r.label, p.draw FROM r JOIN p ON r.rn = p.pick WHERE r.label = 1"))
+
+
+@register("over_sample", _over_sql())
+def q_over_sample(spark, sf):
+    return sampling.over_sample(purchases(spark, sf).select("event_id", "label"), "event_id", "label", SEED)
+
+
+def _bags_sql():
+    w = sampling.bag_weight_sql("loan_id", SEED, "bag", 1.0)
+    return loans_sql(body=(
+        f"SELECT bag, loan_id, weight FROM (SELECT bag, loan_id, {w} AS weight FROM loans, "
+        "(SELECT CAST(range AS INTEGER) AS bag FROM range(10)) b) WHERE weight > 0"))
+
+
+@register("bootstrap_bags", _bags_sql())
+def q_bootstrap_bags(spark, sf):
+    return sampling.bootstrap_bags(loans(spark, sf), "loan_id", n_bags=10, fraction=1.0, seed=SEED)
+
+
+def _fold_scores(spark, sf):
+    s = sampling.kfold_assign(scored(spark, sf), "loan_id", 5, SEED)
+    rules = {"amount_gt_0_5": F.col("score") > 0.5, "amount_gt_0_3": F.col("score") > 0.3}
+    parts = None
+    for name, rule in rules.items():
+        p = s.groupBy("fold").agg(
+            (F.sum(F.when(rule & (F.col("label") == 1), 1).otherwise(0))
+             / F.sum(F.when(F.col("label") == 1, 1).otherwise(0))).alias("score")) \
+            .withColumn("model", F.lit(name))
+        parts = p if parts is None else parts.unionByName(p)
+    return parts
+
+
+def _fold_sql():
+    parts = []
+    for name, thr in [("amount_gt_0_5", 0.5), ("amount_gt_0_3", 0.3)]:
+        parts.append(f"SELECT '{name}' AS model, fold, SUM(CASE WHEN score > {thr} AND label = 1 THEN 1 ELSE 0 END) / "
+                     "SUM(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS score FROM f GROUP BY fold")
+    return scored_sql(
+        f"f AS (SELECT *, CAST((ROW_NUMBER() OVER (ORDER BY {sql_hash_u32('loan_id', SEED, 'kfold')}, loan_id) - 1) % 5 AS INTEGER) AS fold FROM scored)",
+        f"fs AS ({' UNION ALL '.join(parts)})",
+        body=("SELECT model, ROUND(AVG(score), 6) AS mean_score, ROUND(STDDEV_POP(score), 6) AS std_score, COUNT(*) AS n_folds, "
+              "CAST(arg_max(fold, score * 1000 - fold) AS INTEGER) AS best_fold, ROUND(MAX(score), 6) AS best_score FROM fs GROUP BY model"))
+
+
+@register("fold_score_summary", _fold_sql())
+def q_fold_score_summary(spark, sf):
+    return rounded(profile.fold_score_summary(_fold_scores(spark, sf)))
