@@ -33,6 +33,9 @@ from loanlab.operators.sgd import LinearSGD
 
 SEED = 111
 MAX_TREE_DEPTH = 30          # Spark's ceiling; stands in for "grow until pure"
+# deep trees: keep each row's node id between levels and give the level
+# histograms more room (fewer passes); checkpointing uses spark.checkpoint.dir
+TREE_SPEED = dict(cacheNodeIds=True, maxMemoryInMB=1024, checkpointInterval=10)
 
 
 def estimator(kind: str, seed: int = SEED, **kw):
@@ -42,7 +45,8 @@ def estimator(kind: str, seed: int = SEED, **kw):
                                   standardization=False)
     if kind == "tree":
         return DecisionTreeClassifier(maxDepth=kw.get("max_depth", MAX_TREE_DEPTH), seed=seed,
-                                      impurity=kw.get("impurity", "gini"), maxBins=kw.get("max_bins", 32))
+                                      impurity=kw.get("impurity", "gini"), maxBins=kw.get("max_bins", 32),
+                                      **TREE_SPEED)
     if kind == "mlp":
         return MultilayerPerceptronClassifier(maxIter=kw.get("max_iter", 200), seed=seed,
                                               blockSize=kw.get("block_size", 128))
@@ -62,7 +66,7 @@ def estimator(kind: str, seed: int = SEED, **kw):
     if kind == "random_forest":
         return RandomForestClassifier(numTrees=kw.get("trees", 100), featureSubsetStrategy=kw.get("features", "sqrt"),
                                       maxDepth=kw.get("max_depth", MAX_TREE_DEPTH), bootstrap=True, seed=seed,
-                                      subsamplingRate=kw.get("max_samples", 1.0))
+                                      subsamplingRate=kw.get("max_samples", 1.0), **TREE_SPEED)
     if kind == "complement_nb":
         return NaiveBayes(modelType="complement")
     raise ValueError(f"unknown estimator {kind}")

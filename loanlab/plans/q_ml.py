@@ -114,3 +114,154 @@ def q_model_roundtrip(spark, sf):
     m = models.fit_pipeline(train, feats, "logistic")
     path = tables.save_model(m, scratch_path(spark, "model-lr"))
     return _report(spark, "LR_loaded", tables.load_model(path), test)
+
+
+# ------------------------------------------------------------------ ensembles
+from loanlab.operators import ensembles, explain, selection  # noqa: E402
+from loanlab.plans.flows import MODEL_NUMERIC  # noqa: E402
+from loanlab.plans.sqltext import loans_sql  # noqa: E402
+
+
+@register("oob_score")
+def q_oob_score(spark, sf):
+    df, feats = model_table(spark, sf)
+    train, _ = split_parts(df)
+    _, res = ensembles.oob_forest(train, feats, n_trees=20)
+    return res
+
+
+_STACK_BASES = [("DT", "tree"), ("SGDC", "sgd_hinge"), ("HGBC", "gbt"), ("RF", "random_forest"), ("ANN", "mlp")]
+
+
+@register("stacking")
+def q_stacking(spark, sf):
+    df, feats = model_table(spark, sf)
+    train, test = split_parts(df)
+    bases = {n: models.pipeline_of(feats, k, **({"rounds": 20} if k == "gbt" else {"trees": 20} if k == "random_forest" else {}))
+             for n, k in _STACK_BASES}
+    final = lambda names: models.ResampledPipeline(names, models.estimator("logistic"), sampler="under")
+    m = ensembles.Stacking(bases, final, cv=4).fit(train)
+    p = m.transform(test)
+    return metrics.score_many(p.withColumn("model", F.lit("stacking")))
+
+
+@register("balanced_bagging")
+def q_balanced_bagging(spark, sf):
+    df, feats = model_table(spark, sf)
+    train, test = split_parts(df)
+    m = ensembles.balanced_bagging(train, feats, n_estimators=10)
+    return metrics.score_many(m.transform(test).withColumn("model", F.lit("BalancedBagging")))
+
+
+@register("balanced_random_forest")
+def q_balanced_random_forest(spark, sf):
+    df, feats = model_table(spark, sf)
+    train, test = split_parts(df)
+    m = ensembles.balanced_random_forest(train, feats, n_trees=100, n_bags=10)
+    return metrics.score_many(m.transform(test).withColumn("model", F.lit("BalancedRF")))
+
+
+@register("easy_ensemble")
+def q_easy_ensemble(spark, sf):
+    df, feats = model_table(spark, sf)
+    train, test = split_parts(df)
+    m = ensembles.EasyEnsemble(n_bags=10, rounds=50).fit(train, feats)
+    return metrics.score_many(models.predict(m, test).withColumn("model", F.lit("EasyEnsemble")))
+
+
+# ------------------------------------------------------------------ selection
+@register("cross_validate")
+def q_cross_validate(spark, sf):
+    df, feats = model_table(spark, sf)
+    train, _ = split_parts(df)
+    _, scores = selection.cross_validate(train, models.pipeline_of(feats, "logistic"), n_splits=4, train_frac=0.25,
+                                         metric="recall")
+    return scores
+
+
+_TREE_GRID = selection.grid(max_depth=[3, 5, 8, 12, 20, 30], impurity=["gini", "entropy"])
+
+
+@register("halving_search")
+def q_halving_search(spark, sf):
+    df, feats = model_table(spark, sf)
+    train, _ = split_parts(df)
+    make = lambda p: models.ResampledPipeline(feats, models.estimator("tree", **p), sampler=None)
+    _, _, res = selection.halving_search(train, make, _TREE_GRID, factor=3, cv=5, metric="accuracy")
+    return res
+
+
+def _halving_sql(n_candidates=27, factor=3, cv=5, n_classes=2):
+    req = 1
+    x = n_candidates
+    while x >= factor:
+        x //= factor
+        req += 1
+    smallest = 2 * cv * n_classes
+    return loans_sql(
+        "t AS (SELECT CAST(FLOOR(COUNT(*) * 0.75) AS BIGINT) AS n FROM loans)",
+        f"m AS (SELECT n, GREATEST({smallest}, n // {factor ** (req - 1)}) AS mr FROM t)",
+        body=(f"SELECT CAST(r AS INTEGER) AS rung, CAST(({n_candidates} + POW({factor}, r)::BIGINT - 1) // POW({factor}, r)::BIGINT AS INTEGER) "
+              f"AS n_candidates, CAST(mr * POW({factor}, r)::BIGINT AS BIGINT) AS n_resources "
+              f"FROM m, (SELECT range AS r FROM range({req})) g WHERE mr * POW({factor}, r)::BIGINT <= n"))
+
+
+@register("halving_schedule", _halving_sql())
+def q_halving_schedule(spark, sf):
+    from loanlab.sources.fixtures import loans
+    n = loans(spark, sf).count()
+    sched = selection.halving_schedule(int(n * 0.75), 27, 3, 5, 2)
+    return selection.schedule_frame(spark, sched)
+
+
+@register("param_sweep")
+def q_param_sweep(spark, sf):
+    df, feats = model_table(spark, sf)
+    train, test = split_parts(df)
+    make = lambda v: models.ResampledPipeline(feats, models.estimator("random_forest", trees=v), sampler="under")
+    return selection.param_sweep(train, test, make, [10, 20, 30, 40, 50], "n_estimators")
+
+
+@register("feature_set_comparison")
+def q_feature_set_comparison(spark, sf):
+    df, feats = model_table(spark, sf)
+    train, test = split_parts(df)
+    makers = {"LR": lambda cols: models.ResampledPipeline(cols, models.estimator("logistic")),
+              "RF": lambda cols: models.ResampledPipeline(cols, models.estimator("random_forest", trees=50))}
+    return selection.compare_feature_sets(train, test, {"all": feats, "numeric": MODEL_NUMERIC}, makers)
+
+
+# ------------------------------------------------------------------ explanation
+def _forest(spark, sf, trees=100):
+    df, feats = model_table(spark, sf)
+    train, _ = split_parts(df)
+    m = models.ResampledPipeline(feats, models.estimator("random_forest", trees=trees), sampler=None).fit(train)
+    return df, feats, m
+
+
+@register("feature_importances")
+def q_feature_importances(spark, sf):
+    _, feats, m = _forest(spark, sf)
+    return explain.feature_importances(spark, m, feats)
+
+
+@register("split_count_importances")
+def q_split_count_importances(spark, sf):
+    df, feats = model_table(spark, sf)
+    train, _ = split_parts(df)
+    m = models.ResampledPipeline(feats, models.estimator("gbt_leafy"), sampler=None).fit(train)
+    return explain.split_count_importances(spark, m, feats)
+
+
+@register("select_by_importance")
+def q_select_by_importance(spark, sf):
+    df, feats, m = _forest(spark, sf)
+    imp = explain.feature_importances(spark, m, feats)
+    slim, _ = explain.select_by_importance(df, imp, 0.01, keep=["loan_id", "label"])
+    return slim
+
+
+@register("tree_nodes")
+def q_tree_nodes(spark, sf):
+    _, feats, m = _forest(spark, sf, trees=10)
+    return explain.tree_nodes(spark, m, feats, tree=0, max_depth=3)
