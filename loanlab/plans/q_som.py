@@ -1 +1,122 @@
-"""placeholder"""
+"""Queries: self-organizing map, codebook persistence (A8) and
+chained imputation (E4)."""
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from loanlab.operators import encode, metrics, models, som
+from loanlab.operators.impute import IterativeTreeImputer
+from loanlab.plans.flows import parsed_loans
+from loanlab.plans.registry import register, rounded
+from loanlab.plans.sqltext import parsed_sql
+from loanlab.session import scratch_path
+from loanlab.sources.fixtures import vectors
+
+W, H, DIM = 4, 4, 64
+
+_PROJ_CTES = [
+    "v AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x, "
+    "generate_subscripts(embedding, 1) - 1 AS d FROM embeddings)",
+    f"cb AS (SELECT CAST(n.range AS INTEGER) AS node, CAST(dd.range AS INTEGER) AS d, "
+    f"((n.range * 7 + dd.range * 3) % 17 - 8) / 16.0 AS w FROM range({W * H}) n, range({DIM}) dd)",
+    "dist AS (SELECT vec_id, label, node, SUM((x - w) * (x - w)) AS d2 FROM v JOIN cb USING (d) GROUP BY vec_id, label, node)",
+    f"proj AS (SELECT vec_id, label, node, CAST(node % {W} AS INTEGER) AS gx, CAST(node // {W} AS INTEGER) AS gy FROM "
+    "(SELECT *, ROW_NUMBER() OVER (PARTITION BY vec_id ORDER BY d2, node) AS rn FROM dist) WHERE rn = 1)",
+]
+
+
+def _sql(*extra, body):
+    return "WITH " + ",\n".join(_PROJ_CTES + list(extra)) + "\n" + body
+
+
+def _projection(spark, sf):
+    cb = som.codebook_array(som.fixed_codebook(spark, W, H, DIM))
+    return som.project(vectors(spark, sf), cb, W, "features", keep=["vec_id", "label"])
+
+
+@register("som_project", _sql(body="SELECT vec_id, node, gx, gy FROM proj"))
+def q_som_project(spark, sf):
+    return _projection(spark, sf).select("vec_id", "node", "gx", "gy")
+
+
+@register("som_label_map", _sql(body="SELECT node, gx, gy, label, COUNT(*) AS count FROM proj GROUP BY node, gx, gy, label"))
+def q_som_label_map(spark, sf):
+    return som.label_map(_projection(spark, sf), "label")
+
+
+@register("som_component_plane", _sql(
+    "hits AS (SELECT node, COUNT(*) AS hits FROM proj GROUP BY node)",
+    body=(f"SELECT c.node, CAST(c.node % {W} AS INTEGER) AS gx, CAST(c.node // {W} AS INTEGER) AS gy, "
+          "ROUND(c.w, 6) AS value, COALESCE(h.hits, 0) AS hits FROM cb c LEFT JOIN hits h ON c.node = h.node WHERE c.d = 0")))
+def q_som_component_plane(spark, sf):
+    cb = som.fixed_codebook(spark, W, H, DIM)
+    return rounded(som.component_plane(cb, _projection(spark, sf), 0))
+
+
+_UM = f"""
+SELECT a.node, CAST(a.node % {W} AS INTEGER) AS gx, CAST(a.node // {W} AS INTEGER) AS gy, ROUND(AVG(dist), 6) AS u FROM (
+  SELECT p.node, p.nbr, SQRT(SUM((ca.w - cb2.w) * (ca.w - cb2.w))) AS dist FROM (
+    SELECT node, ((node % {W} + o.dx + {W}) % {W}) + {W} * ((node // {W} + o.dy + {H}) % {H}) AS nbr
+    FROM (SELECT DISTINCT node FROM cb), (VALUES (1, 0), (-1, 0), (0, 1), (0, -1)) o(dx, dy)) p
+  JOIN cb ca ON ca.node = p.node JOIN cb cb2 ON cb2.node = p.nbr AND cb2.d = ca.d
+  GROUP BY p.node, p.nbr) a
+GROUP BY a.node"""
+
+
+@register("som_u_matrix", _sql(body=_UM))
+def q_som_u_matrix(spark, sf):
+    # reads the embeddings only to size the codebook dimension from the data
+    dim = vectors(spark, sf).select(F.size("features").alias("n")).agg(F.max("n")).collect()[0][0] or DIM
+    return rounded(som.u_matrix(som.fixed_codebook(spark, W, H, int(dim)), W, H, periodic=True))
+
+
+@register("som_train")
+def q_som_train(spark, sf):
+    m = som.BatchSOM(10, 10, periodic=True, topology="hex", passes=10).fit(vectors(spark, sf), "features", "vec_id")
+    return m.codebook_frame(spark)
+
+
+@register("som_codebook_roundtrip")
+def q_som_codebook_roundtrip(spark, sf):
+    m = som.BatchSOM(5, 5, passes=5).fit(vectors(spark, sf), "features", "vec_id")
+    path = scratch_path(spark, "som-codebook")
+    m.codebook_frame(spark).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+@register("som_features_fit")
+def q_som_features_fit(spark, sf):
+    from loanlab.plans.flows import model_table, split_parts
+    df, feats = model_table(spark, sf)
+    train, test = split_parts(df)
+    bounds = encode.minmax_fit(train, feats)
+    scaled = encode.minmax_apply(df, bounds).withColumn("features", F.array(*[F.col(c) for c in feats]))
+    m = som.BatchSOM(10, 10, passes=10).fit(scaled.filter(F.col("is_train") == 1), "features", "loan_id")
+    proj = m.project(scaled, "features", keep=["loan_id", "label", "is_train"])
+    ptrain = proj.filter(F.col("is_train") == 1).drop("is_train")
+    ptest = proj.filter(F.col("is_train") == 0).drop("is_train")
+    fitted = models.ResampledPipeline(["gx", "gy"], models.estimator("tree", max_depth=10)).fit(ptrain)
+    return metrics.score_many(models.predict(fitted, ptest).withColumn("model", F.lit("DT_on_SOM")))
+
+
+# ------------------------------------------------------------------ chained imputation
+_IMP_COLS = ["loan_amnt", "dti", "int_rate", "revol_util", "fico_score", "employment_len", "age", "open_acc",
+             "total_acc", "revol_bal"]
+_GAPPY = ["revol_util", "employment_len", "open_acc", "total_acc", "revol_bal"]
+
+
+@register("iterative_impute")
+def q_iterative_impute(spark, sf):
+    from loanlab.operators.sampling import split_flag
+    df = split_flag(parsed_loans(spark, sf).select("loan_id", *_IMP_COLS), "loan_id", 0.75, 111)
+    train = df.filter(F.col("is_train") == 1).select(*_IMP_COLS)
+    model = IterativeTreeImputer(_IMP_COLS, max_depth=3, feature_subset="sqrt", max_rounds=10).fit(train)
+    return model.transform(df)
+
+
+@register("iterative_impute_mean_start", parsed_sql(body="SELECT loan_id, " + ", ".join(
+    f"ROUND(CAST(COALESCE({c}, AVG({c}) OVER ()) AS DOUBLE), 6) AS {c}" for c in _GAPPY) + " FROM parsed"))
+def q_iterative_impute_mean_start(spark, sf):
+    df = parsed_loans(spark, sf).select("loan_id", *_IMP_COLS)
+    model = IterativeTreeImputer(_IMP_COLS, max_rounds=0).fit(df.drop("loan_id"))
+    return rounded(model.transform(df).select("loan_id", *_GAPPY))
