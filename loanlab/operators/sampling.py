@@ -106,19 +106,37 @@ def under_sample(df: DataFrame, key: str, label: str, seed=111) -> DataFrame:
     return r.filter(F.col("_rank") < F.col("_nmin")).drop("_h", "_rank", "_n", "_nmin", "_nmax")
 
 
-def over_sample(df: DataFrame, key: str, label: str, seed=111, minority=1) -> DataFrame:
+BROADCAST_ROWS = 1_000_000   # broadcast bound for the minority side of over_sample
+
+
+def over_sample(df: DataFrame, key: str, label: str, seed=111, minority=None) -> DataFrame:
     """Binary random over-sampling with replacement: all rows plus
     (n_major - n_minor) draws of minority rows.  Draw i takes the minority row of
     rank ``hash(i) mod n_minor``; the draws are indexed by the majority rows beyond
     rank n_minor, so no driver-side range is needed.  ``draw`` is NULL for the
-    original rows."""
+    original rows.
+
+    Skew: a small minority means each of its rows is drawn many times (one hot
+    join key per row), so when the minority has at most ``BROADCAST_ROWS`` rows
+    (counted first: two numbers reach the driver) it is broadcast; a larger
+    minority is shuffle-joined, and then each row is drawn only
+    n_major/n_minor times on average.
+    """
+    counts = {r[0]: r[1] for r in df.groupBy(label).count().limit(3).collect()}
+    if len(counts) != 2:
+        raise ValueError("over_sample expects exactly two classes")
+    if minority is None:
+        minority = min(counts, key=lambda c: (counts[c], c))
+    n_minor = counts[minority]
     r = hash_rank(df, key, seed, by=label, salt="ros", with_counts=True)
     lab = F.col(label)
     minor = r.filter(lab == F.lit(minority))
     need = (r.filter((lab != F.lit(minority)) & (F.col("_rank") >= F.col("_nmin")))
               .select((F.col("_rank") - F.col("_nmin")).alias("draw"), F.col("_nmin").alias("_m")))
     need = need.withColumn("_pick", F.pmod(hash_u32(F.col("draw"), seed, "draw"), F.col("_m")))
-    copies = minor.join(need, minor["_rank"] == need["_pick"]).select(*df.columns, "draw")
+    if n_minor <= BROADCAST_ROWS:
+        minor = F.broadcast(minor)
+    copies = need.join(minor, minor["_rank"] == need["_pick"]).select(*df.columns, "draw")
     base = df.withColumn("draw", F.lit(None).cast("long"))
     return base.unionByName(copies)
 
