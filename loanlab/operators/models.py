@@ -48,7 +48,9 @@ def estimator(kind: str, seed: int = SEED, **kw):
                                       impurity=kw.get("impurity", "gini"), maxBins=kw.get("max_bins", 32),
                                       **TREE_SPEED)
     if kind == "mlp":
-        return MultilayerPerceptronClassifier(maxIter=kw.get("max_iter", 200), seed=seed,
+        # no early stopping in Spark: a convergence tolerance and an iteration cap
+        # play its part
+        return MultilayerPerceptronClassifier(maxIter=kw.get("max_iter", 100), tol=kw.get("tol", 1e-4), seed=seed,
                                               blockSize=kw.get("block_size", 128))
     if kind == "linear_svc":
         return LinearSVC(maxIter=kw.get("max_iter", 100), regParam=kw.get("reg", 0.0), standardization=False)
