@@ -151,7 +151,8 @@ def running_totals(d: DataFrame, order: str, cols: Sequence[str], by: Sequence[s
     by = list(by)
     qs = [i / buckets for i in range(1, buckets)]
     b = d.agg(F.percentile_approx(F.col(order), qs, accuracy).alias("b")).collect()[0]["b"] or []
-    splits = [float("-inf")] + sorted(set(x for x in b if x is not None)) + [float("inf")]
+    inner = sorted(set(x for x in b if x is not None)) or [0.0]   # Bucketizer needs >= 3 splits
+    splits = [float("-inf")] + inner + [float("inf")]
     dd = Bucketizer(splits=splits, inputCol=order, outputCol="_bk").transform(d)
     if descending:
         dd = dd.withColumn("_bk", F.lit(len(splits)) - F.col("_bk"))
