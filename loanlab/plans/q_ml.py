@@ -179,6 +179,15 @@ def q_cross_validate(spark, sf):
     return scores
 
 
+@register("cross_validate_over_sampled")
+def q_cross_validate_over_sampled(spark, sf):
+    df, feats = model_table(spark, sf)
+    train, _ = split_parts(df)
+    _, scores = selection.cross_validate(train, models.pipeline_of(feats, "logistic", sampler="over"), n_splits=4,
+                                         train_frac=0.25, metric="recall")
+    return scores
+
+
 _TREE_GRID = selection.grid(max_depth=[3, 5, 8, 12, 20, 30], impurity=["gini", "entropy"])
 
 
