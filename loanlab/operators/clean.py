@@ -149,6 +149,8 @@ def remove_outliers(df: DataFrame, cols: Sequence[str], k: float = 10.0, mode: s
         return df
     if mode != "sequential":
         raise ValueError("mode must be 'sequential' or 'one_pass'")
+    # one quantile job per column over the shrinking frame: compute the input once
+    df = df.persist()
     for c in cols:
         qs = quantile_values(df, [c], [0.25, 0.75], accuracy=accuracy)
         if qs[(c, 0.75)] is None:

@@ -166,15 +166,19 @@ def running_totals(d: DataFrame, order: str, cols: Sequence[str], by: Sequence[s
 
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
-    """Area under the ROC curve with ties counted half (Mann-Whitney)."""
+    """Area under the ROC curve with ties counted half (Mann-Whitney); one row
+    per ``by`` group."""
     by = list(by)
-    d = _score_counts(df, label, score, by)
+    d = _score_counts(df, label, score, by).persist()   # distinct scores, read twice
     r = running_totals(d, "s", ["neg"], by)
     part = r.groupBy(*by).agg(
         F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.col("neg") / 2)).alias("_a"),
         F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
     auc = F.when((F.col("_p") > 0) & (F.col("_n") > 0), F.col("_a") / (F.col("_p") * F.col("_n")))
-    return part.select(*by, auc.alias("auc"))
+    res = part.select(*by, auc.alias("auc"))
+    out = df.sparkSession.createDataFrame(res.collect(), res.schema)   # one row per group
+    d.unpersist()
+    return out
 
 
 def roc_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
@@ -205,7 +209,11 @@ def score_many(long: DataFrame, model: str = "model", label: str = "label", pred
                score: str | None = "score") -> DataFrame:
     """All threshold metrics (+ AUC when ``score`` is given) per model from one
     long frame (model, key, label, prediction, score): one aggregation by model."""
+    cols = [model, label, prediction] + ([score] if score else [])
+    long = long.select(*cols).persist()          # read by two aggregations
     m = metrics_from_counts(confusion_counts(long, label, prediction, by=[model]), keep=[model])
     if score:
         m = m.join(roc_auc(long, label, score, by=[model]), model, "left")
-    return m
+    out = long.sparkSession.createDataFrame(m.collect(), m.schema)   # one row per model
+    long.unpersist()
+    return out

@@ -46,6 +46,15 @@ def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     """
     spark = df.sparkSession
     cols, probs = list(cols), sorted(set(float(p) for p in probs))
+    # three passes over the same rows: keep just the needed columns, once
+    df = df.select(*([by] if by else []), *[_dbl(c).alias(c) for c in dict.fromkeys(cols)]).persist()
+    try:
+        return _quantile_table(spark, df, cols, probs, by, accuracy)
+    finally:
+        df.unpersist()
+
+
+def _quantile_table(spark, df, cols, probs, by, accuracy):
     eps = 1.0 / accuracy
     pts = []
     for q in probs:
@@ -84,8 +93,8 @@ def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         entries = [F.when(_lit_group_cond(by, b[1]) & (_dbl(b[2]) >= F.lit(b[4])) & (_dbl(b[2]) <= F.lit(b[5])),
                           F.struct(F.lit(t).alias("t"), _dbl(b[2]).alias("x")))
                    for t, b in enumerate(live)]
-        inside = (df.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
-                    .select("e.t", "e.x").groupBy("t", "x").agg(F.count(F.lit(1)).alias("cnt")))
+        inside = (df.select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
+                    .groupBy("t", "x").agg(F.count(F.lit(1)).alias("cnt")))
         meta = spark.createDataFrame(
             [(t, int(below[f"b{t}"]), b[7], b[8]) for t, b in enumerate(live)],
             "t int, below long, k0 long, k1 long")
@@ -106,6 +115,7 @@ def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 results[t] = x0 + b[9] * (x1 - x0)
     rows = []
     t = 0
+    results = results if live else {}
     for b in brackets:
         if b[6]:
             v = results[t]
@@ -127,6 +137,7 @@ def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 def describe(df: DataFrame, cols: Sequence[str], accuracy: int = 100_000) -> DataFrame:
     """count, mean, sample std, min, quartiles, max per column (long form)."""
     cols = list(cols)
+    df = df.select(*[_dbl(c).alias(c) for c in dict.fromkeys(cols)]).persist()
     aggs = []
     for c in cols:
         aggs += [F.count(c).alias(f"{c}__count"), F.avg(_dbl(c)).alias(f"{c}__mean"),
@@ -141,7 +152,10 @@ def describe(df: DataFrame, cols: Sequence[str], accuracy: int = 100_000) -> Dat
         F.max(F.when(F.col("prob") == 0.25, F.col("value"))).alias("q25"),
         F.max(F.when(F.col("prob") == 0.5, F.col("value"))).alias("q50"),
         F.max(F.when(F.col("prob") == 0.75, F.col("value"))).alias("q75"))
-    return basic.join(qw, "feature").select("feature", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
+    out = basic.join(qw, "feature").select("feature", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
+    out = df.sparkSession.createDataFrame(out.collect(), out.schema)   # one row per column
+    df.unpersist()
+    return out
 
 
 def category_cardinality(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:

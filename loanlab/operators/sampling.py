@@ -160,10 +160,15 @@ def bootstrap_bags(df: DataFrame, key: str, n_bags: int = 10, fraction: float =
     Poisson(fraction) per (row, bag), the distributed form of drawing n*fraction
     rows with replacement."""
     e = df.select(key, *keep).withColumn("bag", F.explode(F.sequence(F.lit(0), F.lit(n_bags - 1))))
-    u = hash_u32(key, seed, "bag", "bag") / F.lit(TWO_32)
-    cdf = poisson_cdf(fraction)
-    w = sum(((u >= F.lit(c)).cast("int") for c in cdf[:-1]), F.lit(0))
-    return e.withColumn("weight", w).filter(F.col("weight") > 0).select("bag", key, *keep, "weight")
+    # hash once per (row, bag); the weight reads the column, not the hash expression
+    e = e.withColumn("_u", hash_u32(key, seed, "bag", "bag") / F.lit(TWO_32))
+    return e.withColumn("weight", poisson_weight(F.col("_u"), fraction)).filter(F.col("weight") > 0) \
+            .select("bag", key, *keep, "weight")
+
+
+def poisson_weight(u, fraction: float = 1.0):
+    """Inverse-CDF Poisson draw from a uniform column ``u`` in [0, 1)."""
+    return sum(((u >= F.lit(c)).cast("int") for c in poisson_cdf(fraction)[:-1]), F.lit(0))
 
 
 def bag_weight_sql(key_sql: str, seed, bag_sql: str, fraction: float) -> str:
