@@ -159,10 +159,13 @@ def bootstrap_bags(df: DataFrame, key: str, n_bags: int = 10, fraction: float =
     """Bootstrap bags as weights: (bag, key, keep..., weight>0) with weight ~
     Poisson(fraction) per (row, bag), the distributed form of drawing n*fraction
     rows with replacement."""
-    e = df.select(key, *keep).withColumn("bag", F.explode(F.sequence(F.lit(0), F.lit(n_bags - 1))))
-    # hash once per (row, bag); the weight reads the column, not the hash expression
-    e = e.withColumn("_u", hash_u32(key, seed, "bag", "bag") / F.lit(TWO_32))
-    return e.withColumn("weight", poisson_weight(F.col("_u"), fraction)).filter(F.col("weight") > 0) \
+    # the uniform draw is produced by the generator itself, so the optimizer
+    # cannot inline the hash into each of the Poisson thresholds below
+    draws = F.transform(F.sequence(F.lit(0), F.lit(n_bags - 1)),
+                        lambda b: F.struct(b.alias("bag"), (hash_u32(key, seed, "bag", b) / F.lit(TWO_32)).alias("_u")))
+    e = df.select(key, *keep, F.inline(draws))
+    first = poisson_cdf(fraction)[0]
+    return e.filter(F.col("_u") >= F.lit(first)).withColumn("weight", poisson_weight(F.col("_u"), fraction)) \
             .select("bag", key, *keep, "weight")
 
 
