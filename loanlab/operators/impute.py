@@ -20,7 +20,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanlab.session import cut_lineage
+from loanlab.session import cut_lineage, right_size
 
 
 class IterativeTreeImputerModel:
@@ -64,7 +64,9 @@ class IterativeTreeImputer:
         targets = sorted([c for c in cols if gaps[c] > 0], key=lambda c: (gaps[c], cols.index(c)))
         scale = one["scale"] or 0.0
         x = df.select(*cols).withColumns({f"_m_{c}": F.col(c).isNull().cast("int") for c in targets})
-        x = cut_lineage(x.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(means[c])) for c in cols}))
+        x = x.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(means[c])) for c in cols})
+        floor = df.sparkSession.sparkContext.defaultParallelism
+        x = cut_lineage(right_size(x, 8 * 2 * (len(cols) + 1), floor=floor))
         steps, history, rounds = [], [], 0
         for r in range(self.max_rounds if targets else 0):
             x = x.withColumns({f"_p_{c}": F.col(c) for c in targets})

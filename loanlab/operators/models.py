@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from loanlab.operators import encode, sampling
 from loanlab.operators.sgd import LinearSGD
+from loanlab.session import right_size
 
 SEED = 111
 MAX_TREE_DEPTH = 30          # Spark's ceiling; stands in for "grow until pure"
@@ -123,8 +124,12 @@ class ResampledPipeline:
         prepared = _sample(prepared, self.sampler, self.key, self.label, self.seed)
         if isinstance(self.est, LinearSGD):
             return PipelineModel([scaler, self.est.fit(prepared, in_cols, self.label, self.key)])
-        # iterative solvers read the training rows many times: materialise once
-        prepared = assembler.transform(prepared).select(self.key, self.label, "features").persist()
+        # iterative solvers read the training rows many times: materialise once,
+        # in as many partitions as the size calls for
+        prepared = assembler.transform(prepared).select(self.key, self.label, "features")
+        heavy = isinstance(self.est, (DecisionTreeClassifier, RandomForestClassifier, GBTClassifier))
+        floor = prepared.sparkSession.sparkContext.defaultParallelism if heavy else 1
+        prepared = right_size(prepared, 8 * (len(in_cols) + 3), floor=floor)
         est = self.est.copy()
         est.setLabelCol(self.label).setFeaturesCol("features")
         if isinstance(est, MultilayerPerceptronClassifier):

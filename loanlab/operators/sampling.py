@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from loanlab.functions.columns import TWO_32, hash_u32
 
 BIN_SHIFT = 16   # 32-bit hash -> 65,536 bins
+HIST_BROADCAST_ROWS = 4_000_000   # broadcast bound for the bin-offset table
 
 
 def _keys(by) -> list[str]:
@@ -49,8 +50,10 @@ def hash_rank(df: DataFrame, key: str, seed, by=None, salt: str = "", salt_col:
         off = off.withColumn("_n", F.sum("_c").over(wg))
         wall = Window.partitionBy()
         off = off.withColumn("_nmin", F.min("_n").over(wall)).withColumn("_nmax", F.max("_n").over(wall))
-    off = off.drop("_c")
-    j = d.join(F.broadcast(off), keys + ["_bin"])
+    off = off.drop("_c").persist()
+    # groups x 65,536 rows at most; checked before it is broadcast
+    small = off.count() <= HIST_BROADCAST_ROWS
+    j = d.join(F.broadcast(off) if small else off, keys + ["_bin"])
     wr = Window.partitionBy(*keys, "_bin").orderBy("_h", key)
     return j.withColumn(out, F.col("_off") + F.row_number().over(wr) - 1).drop("_bin", "_off")
 

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanlab.functions.columns import TWO_32, hash_u32
+from loanlab.session import right_size
 
 
 def _losses(z: np.ndarray, loss: str):
@@ -82,7 +83,7 @@ class LinearSGD:
         vf = self.validation_fraction if self.early_stopping else 0.0
         data = df.select(*[F.col(c).cast("double").alias(c) for c in cols], F.col(label).alias(label),
                          (hash_u32(key, self.seed, "sgdval") < F.lit(int(vf * TWO_32))).cast("int").alias("_val"))
-        data = data.persist()
+        data = right_size(data, 8 * (len(cols) + 2))
         # enough local steps per round whatever the partition size (1 epoch at scale)
         rows = data.count()
         per_part = max(1.0, rows / max(1, data.rdd.getNumPartitions()))

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlab.functions.columns import hash_u32
+from loanlab.session import right_size
 
 
 def grid_coords(w: int, h: int, topology: str = "hex") -> np.ndarray:
@@ -134,7 +135,8 @@ class BatchSOM:
 
     def fit(self, df: DataFrame, col: str = "features", key: str | None = None) -> SOMModel:
         k = self.w * self.h
-        data = df.select(col, *([key] if key else [])).persist()
+        dim = len(df.select(col).first()[col] or [])
+        data = right_size(df.select(col, *([key] if key else [])), 8 * (dim + 2))
         order = hash_u32(key, self.seed, "som") if key else F.xxhash64(col)
         first = data.orderBy(order).limit(k).collect()
         x0 = np.array([r[col] for r in first], dtype=float)

@@ -69,3 +69,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss; never ``localCheckpoint``)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def right_size(df: DataFrame, row_bytes: int, target_bytes: int = 8 << 20, floor: int = 1) -> DataFrame:
+    """Persist ``df`` with a partition count fitted to its size.
+
+    Iterative learners run one job per iteration, so every partition costs a task
+    launch per iteration; small training frames get ``ceil(bytes / target)``
+    partitions (at least ``floor``, never more than they have).  Large frames
+    are left as they are.  Returns the persisted frame (one count job).
+    """
+    df = df.persist()
+    n = df.count()
+    have = df.rdd.getNumPartitions()
+    want = max(floor, -(-n * max(1, row_bytes) // target_bytes))
+    if want >= have:
+        return df
+    smaller = df.coalesce(int(want)).persist()
+    smaller.count()
+    df.unpersist()
+    return smaller
