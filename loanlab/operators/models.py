@@ -127,9 +127,10 @@ class ResampledPipeline:
         # iterative solvers read the training rows many times: materialise once,
         # in as many partitions as the size calls for
         prepared = assembler.transform(prepared).select(self.key, self.label, "features")
-        heavy = isinstance(self.est, (DecisionTreeClassifier, RandomForestClassifier, GBTClassifier))
-        floor = prepared.sparkSession.sparkContext.defaultParallelism if heavy else 1
-        prepared = right_size(prepared, 8 * (len(in_cols) + 3), floor=floor)
+        if isinstance(self.est, (DecisionTreeClassifier, RandomForestClassifier, GBTClassifier)):
+            prepared = prepared.persist()     # compute-bound: keep every partition busy
+        else:
+            prepared = right_size(prepared, 8 * (len(in_cols) + 3))   # latency-bound iterations
         est = self.est.copy()
         est.setLabelCol(self.label).setFeaturesCol("features")
         if isinstance(est, MultilayerPerceptronClassifier):
