@@ -37,24 +37,25 @@ def _lit_group_cond(by: str | None, g):
 
 
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                   by: str | None = None, accuracy: int = 100_000) -> DataFrame:
+                   by: str | None = None, accuracy: int = 100_000, extra: dict | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles (pandas/DuckDB ``quantile_cont``).
 
     Returns (``by``?, column, prob, value).  ``by`` is one low-cardinality column
     (at most 10,000 groups, checked).  NULLs are skipped; a column without values
-    gives NULL.
+    gives NULL.  ``extra`` maps names to aggregate columns computed in the same
+    first pass (global only); their values are written back into the dict.
     """
     spark = df.sparkSession
     cols, probs = list(cols), sorted(set(float(p) for p in probs))
     # three passes over the same rows: keep just the needed columns, once
     df = df.select(*([by] if by else []), *[_dbl(c).alias(c) for c in dict.fromkeys(cols)]).persist()
     try:
-        return _quantile_table(spark, df, cols, probs, by, accuracy)
+        return _quantile_table(spark, df, cols, probs, by, accuracy, extra)
     finally:
         df.unpersist()
 
 
-def _quantile_table(spark, df, cols, probs, by, accuracy):
+def _quantile_table(spark, df, cols, probs, by, accuracy, extra=None):
     eps = 1.0 / accuracy
     pts = []
     for q in probs:
@@ -65,7 +66,12 @@ def _quantile_table(spark, df, cols, probs, by, accuracy):
     for i, c in enumerate(cols):
         aggs.append(F.percentile_approx(_dbl(c), pts, accuracy).alias(f"a{i}"))
         aggs.append(F.count(c).alias(f"n{i}"))
+    if extra and not keys:
+        aggs += [e.alias(f"x_{k}") for k, e in extra.items()]
     g1 = (df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)).limit(_MAX_GROUPS + 1).collect()
+    if extra and not keys:
+        for k in list(extra):
+            extra[k] = g1[0][f"x_{k}"]
     if len(g1) > _MAX_GROUPS:
         raise ValueError("too many groups for quantile_table")
     brackets = []   # (gidx, g, column, prob, lo, hi, n, k0, k1, frac)
@@ -85,28 +91,26 @@ def _quantile_table(spark, df, cols, probs, by, accuracy):
     live = [b for b in brackets if b[6]]
     results = {}
     if live:
-        # pass 2: exact count below every bracket (one wide aggregation)
-        below_aggs = [F.count_if(_lit_group_cond(by, b[1]) & (_dbl(b[2]) < F.lit(b[4]))).alias(f"b{t}")
-                      for t, b in enumerate(live)]
-        below = df.agg(*below_aggs).collect()[0]
-        # pass 3: distinct values inside the brackets, ranked per bracket
-        entries = [F.when(_lit_group_cond(by, b[1]) & (_dbl(b[2]) >= F.lit(b[4])) & (_dbl(b[2]) <= F.lit(b[5])),
-                          F.struct(F.lit(t).alias("t"), _dbl(b[2]).alias("x")))
-                   for t, b in enumerate(live)]
+        # pass 2: one job counts the rows below each bracket (emitted with x = NULL,
+        # collapsed by the map-side partial aggregation) and the distinct values
+        # inside it; then a running count per bracket locates the two ranks
+        entries = []
+        for t, b in enumerate(live):
+            x, g = _dbl(b[2]), _lit_group_cond(by, b[1])
+            entries.append(F.when(g & (x < F.lit(b[4])), F.struct(F.lit(t).alias("t"), F.lit(None).cast("double").alias("x")))
+                            .when(g & (x <= F.lit(b[5])), F.struct(F.lit(t).alias("t"), x.alias("x"))))
         inside = (df.select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
                     .groupBy("t", "x").agg(F.count(F.lit(1)).alias("cnt")))
-        meta = spark.createDataFrame(
-            [(t, int(below[f"b{t}"]), b[7], b[8]) for t, b in enumerate(live)],
-            "t int, below long, k0 long, k1 long")
-        w = Window.partitionBy("t").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-        ranked = inside.join(F.broadcast(meta), "t").withColumn("cum", F.col("below") + F.sum("cnt").over(w))
+        meta = spark.createDataFrame([(t, b[7], b[8]) for t, b in enumerate(live)], "t int, k0 long, k1 long")
+        w = Window.partitionBy("t").orderBy(F.col("x").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+        ranked = inside.join(F.broadcast(meta), "t").withColumn("cum", F.sum("cnt").over(w))
         picked = ranked.groupBy("t").agg(
-            F.min(F.when(F.col("cum") > F.col("k0"), F.col("x"))).alias("x0"),
-            F.min(F.when(F.col("cum") > F.col("k1"), F.col("x"))).alias("x1"),
-            F.first("below").alias("below"))
+            F.min(F.when(F.col("x").isNotNull() & (F.col("cum") > F.col("k0")), F.col("x"))).alias("x0"),
+            F.min(F.when(F.col("x").isNotNull() & (F.col("cum") > F.col("k1")), F.col("x"))).alias("x1"),
+            F.sum(F.when(F.col("x").isNull(), F.col("cnt")).otherwise(0)).alias("below"))
         got = {r["t"]: (r["x0"], r["x1"], r["below"]) for r in picked.collect()}
         for t, b in enumerate(live):
-            x0, x1, blw = got.get(t, (None, None, int(below[f"b{t}"])))
+            x0, x1, blw = got.get(t, (None, None, 0))
             if x0 is None or x1 is None or blw > b[7]:
                 # sketch bound missed (not expected); exact fallback for this cell only
                 sub = df.filter(_lit_group_cond(by, b[1])).agg(F.percentile(_dbl(b[2]), b[3]).alias("v"))
@@ -137,25 +141,17 @@ def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 def describe(df: DataFrame, cols: Sequence[str], accuracy: int = 100_000) -> DataFrame:
     """count, mean, sample std, min, quartiles, max per column (long form)."""
     cols = list(cols)
-    df = df.select(*[_dbl(c).alias(c) for c in dict.fromkeys(cols)]).persist()
-    aggs = []
-    for c in cols:
-        aggs += [F.count(c).alias(f"{c}__count"), F.avg(_dbl(c)).alias(f"{c}__mean"),
-                 F.stddev_samp(_dbl(c)).alias(f"{c}__std"), F.min(_dbl(c)).alias(f"{c}__min"),
-                 F.max(_dbl(c)).alias(f"{c}__max")]
-    one = df.agg(*aggs)
-    stack = ", ".join(
-        f"'{c}', `{c}__count`, `{c}__mean`, `{c}__std`, `{c}__min`, `{c}__max`" for c in cols)
-    basic = one.selectExpr(f"stack({len(cols)}, {stack}) AS (feature, count, mean, std, min, max)")
-    q = quantile_table(df, cols, [0.25, 0.5, 0.75], accuracy=accuracy)
-    qw = q.groupBy("feature").agg(
-        F.max(F.when(F.col("prob") == 0.25, F.col("value"))).alias("q25"),
-        F.max(F.when(F.col("prob") == 0.5, F.col("value"))).alias("q50"),
-        F.max(F.when(F.col("prob") == 0.75, F.col("value"))).alias("q75"))
-    out = basic.join(qw, "feature").select("feature", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
-    out = df.sparkSession.createDataFrame(out.collect(), out.schema)   # one row per column
-    df.unpersist()
-    return out
+    extra = {}
+    for i, c in enumerate(cols):
+        extra.update({f"count{i}": F.count(c), f"mean{i}": F.avg(_dbl(c)), f"std{i}": F.stddev_samp(_dbl(c)),
+                      f"min{i}": F.min(_dbl(c)), f"max{i}": F.max(_dbl(c))})
+    q = {(r["feature"], r["prob"]): r["value"]
+         for r in quantile_table(df, cols, [0.25, 0.5, 0.75], accuracy=accuracy, extra=extra).collect()}
+    rows = [(c, extra[f"count{i}"], extra[f"mean{i}"], extra[f"std{i}"], extra[f"min{i}"], q[(c, 0.25)],
+             q[(c, 0.5)], q[(c, 0.75)], extra[f"max{i}"]) for i, c in enumerate(cols)]
+    return df.sparkSession.createDataFrame(
+        rows, "feature string, count long, mean double, std double, min double, q25 double, q50 double, "
+              "q75 double, max double")
 
 
 def category_cardinality(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
