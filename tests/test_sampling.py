@@ -81,3 +81,19 @@ def test_bootstrap_weights_mean_close_to_fraction(events):
 def test_poisson_cdf_tail():
     c = sampling.poisson_cdf(1.0)
     assert c[0] == pytest.approx(0.36787944117144233) and 1 - c[-1] < 2 ** -40
+
+
+def test_hash_rank_without_broadcast(events, monkeypatch):
+    """Above the row bound the offsets are shuffle-joined; the ranks do not change."""
+    monkeypatch.setattr(sampling, "HIST_BROADCAST_ROWS", 0)
+    a = _set(sampling.hash_rank(events, "event_id", 9, by="label"), "event_id", "_rank")
+    monkeypatch.undo()
+    b = _set(sampling.hash_rank(events, "event_id", 9, by="label"), "event_id", "_rank")
+    assert a == b
+
+
+def test_over_sample_large_minority_path(events, monkeypatch):
+    monkeypatch.setattr(sampling, "BROADCAST_ROWS", 0)
+    a = _set(sampling.over_sample(events, "event_id", "label"), "event_id", "draw")
+    monkeypatch.undo()
+    assert a == _set(sampling.over_sample(events, "event_id", "label"), "event_id", "draw")
