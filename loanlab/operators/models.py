@@ -57,7 +57,7 @@ def estimator(kind: str, seed: int = SEED, **kw):
         return LinearSVC(maxIter=kw.get("max_iter", 100), regParam=kw.get("reg", 0.0), standardization=False)
     if kind in ("sgd_hinge", "sgd_modified_huber"):
         return LinearSGD(loss="hinge" if kind == "sgd_hinge" else "modified_huber", seed=seed,
-                         max_iter=kw.get("max_iter", 30))
+                         max_iter=kw.get("max_iter", 20))
     if kind == "gbt":
         return GBTClassifier(maxIter=kw.get("rounds", 100), stepSize=kw.get("lr", 0.1),
                              maxDepth=kw.get("max_depth", 5), maxBins=kw.get("max_bins", 255), seed=seed)

@@ -2,8 +2,9 @@
 modified Huber loss, L2 penalty) with early stopping on a hashed validation slice.
 
 One round = one Spark job: the current weights (d + 1 numbers) travel in the
-task closure; every partition runs one local epoch of mini-batch SGD over its
-rows (vectorised numpy) and returns its final weights, row count and the
+task closure; every partition runs local epochs of mini-batch SGD with
+per-coordinate (AdaGrad) steps over its rows (vectorised numpy) and returns its
+final weights, row count and the
 training/validation loss of the starting weights; Spark sums the count-weighted
 weights and the driver divides (model averaging).  The input is persisted once
 and the weights are plain numbers, so lineage never grows across rounds.
@@ -34,7 +35,7 @@ def _losses(z: np.ndarray, loss: str):
 
 
 def _round_fn(cols: list[str], label: str, w0: np.ndarray, b0: float, loss: str, alpha: float,
-              eta: float, batch: int, epochs: int = 1):
+              eta: float, batch: int, epochs: int = 1, adaptive: bool = True):
     def run(batches):
         d = len(cols)
         w, b = w0.copy(), b0
@@ -49,13 +50,22 @@ def _round_fn(cols: list[str], label: str, w0: np.ndarray, b0: float, loss: str,
             lv += l0[val].sum()
             nv += val.sum()
             xt, yt = x[~val], y[~val]
+            gw, gb = np.full(d, 1e-8), 1e-8     # AdaGrad accumulators (per round, per partition)
             for _ in range(epochs):
                 for s in range(0, len(yt), batch):
                     xb, yb = xt[s:s + batch], yt[s:s + batch]
                     _, dz = _losses(yb * (xb @ w + b), loss)
                     coef = dz * yb
-                    w = w - eta * (xb.T @ coef / len(yb) + alpha * w)
-                    b = b - eta * coef.mean()
+                    grad_w = xb.T @ coef / len(yb) + alpha * w
+                    grad_b = coef.mean()
+                    if adaptive:
+                        gw += grad_w * grad_w
+                        gb += grad_b * grad_b
+                        w = w - eta * grad_w / np.sqrt(gw)
+                        b = b - eta * grad_b / np.sqrt(gb)
+                    else:
+                        w = w - eta * grad_w
+                        b = b - eta * grad_b
         if nt + nv == 0:
             return
         yield pd.DataFrame({"w": [list(w * nt) + [b * nt]], "lt": [lt], "nt": [nt], "lv": [lv], "nv": [nv]})
@@ -68,7 +78,7 @@ class LinearSGD:
     ``prediction``."""
 
     def __init__(self, loss: str = "hinge", alpha: float = 1e-4, max_iter: int = 50, tol: float = 1e-3,
-                 n_iter_no_change: int = 5, validation_fraction: float = 0.1, eta0: float = 0.02,
+                 n_iter_no_change: int = 5, validation_fraction: float = 0.1, eta0: float = 0.2,
                  batch_size: int = 4, min_local_steps: int = 2000, early_stopping: bool = True, seed: int = 111):
         if loss not in ("hinge", "modified_huber"):
             raise ValueError("loss must be 'hinge' or 'modified_huber'")
