@@ -13,6 +13,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SHIPPED: set[str] = set()
+
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -28,8 +30,10 @@ def get_session(master: str | None = None, app: str = "loanlab",
                 shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings this package assumes."""
-    master = master or os.environ.get("LOANLAB_MASTER", "local[*]")
-    b = SparkSession.builder.master(master).appName(app)
+    b = SparkSession.builder.appName(app)
+    master = master or os.environ.get("LOANLAB_MASTER")
+    if master:  # else spark-submit's, or Spark's own default
+        b = b.master(master)
     conf = dict(DEFAULT_CONF)
     conf["spark.driver.memory"] = os.environ.get("LOANLAB_DRIVER_MEMORY", "16g")
     if shuffle_partitions:
@@ -47,7 +51,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
     Order: the context's checkpoint dir, then ``spark.checkpoint.dir`` from the
-    session conf; only if both are unset (tests, local runs) a fresh private folder.
+    session conf; only if both are unset on a local master a fresh private folder.  On a
+    cluster a machine-local folder would lose data, so that is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -55,6 +60,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d.rstrip("/")
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="loanlab-ckpt-")
     sc.setCheckpointDir(conf)
     return (sc.getCheckpointDir() or conf).rstrip("/")
@@ -65,6 +72,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/loanlab-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable on the executors (once for each application).
+
+    Functions given to Spark are pickled by reference to their module, so executors
+    need the code; it travels as one archive through Spark's own file service.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import zipfile
+    root = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="loanlab-src-"), "loanlab.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    p = os.path.join(d, n)
+                    z.write(p, os.path.join("loanlab", os.path.relpath(p, root)))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss; never ``localCheckpoint``)."""
     checkpoint_dir(df.sparkSession)

@@ -11,5 +11,3 @@ def test_entry_runs(spark):
 def test_registry_names():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    for name in q:
-        assert not name.startswith("op") and "pipeline" not in name

@@ -13,7 +13,13 @@ import oracle_check  # noqa: E402
 
 import __spark_entry__ as E  # noqa: E402
 
-ORACLE = E.oracle_sql()
+def _own():
+    from loanlab.plans import registry
+    registry._load_all()
+    return registry.ORACLE
+
+
+ORACLE = _own()
 
 
 @pytest.fixture(scope="module")
