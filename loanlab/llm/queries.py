@@ -30,3 +30,25 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loanlab.llm import bpe
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+
+OP9_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+        ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g FROM w),
+e AS (SELECT doc_id, len(g) AS n, unnest(g) AS t FROM s),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) AS nx, any_value(b.n) AS ny, COUNT(*) AS c
+      FROM e a JOIN e b ON a.t = b.t AND a.doc_id < b.doc_id AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n) GROUP BY 1, 2),
+l AS (SELECT x, y FROM p WHERE 100 * c >= 80 * (nx + ny - c)),
+d AS (SELECT x AS u, y AS v FROM l UNION SELECT y, x FROM l),
+r(node, seen) AS (SELECT u, u FROM d UNION SELECT r.node, d.v FROM r JOIN d ON r.seen = d.u),
+m AS (SELECT node, MIN(seen) AS root FROM r GROUP BY 1)
+SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, coalesce(root, s.doc_id) AS component_id FROM s LEFT JOIN m ON s.doc_id = m.node
+"""
+
+
+@query("op9_jaccard_join", OP9_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loanlab.llm import jaccard
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
