@@ -52,3 +52,22 @@ SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, coalesce(root, s.doc_id)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loanlab.llm import jaccard
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+OP8_SQL = r"""
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+a AS (SELECT doc_id, unnest(range(1, len(ws) - 48)) AS i FROM w WHERE len(ws) >= 50),
+g AS (SELECT a.doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS h FROM a JOIN w ON a.doc_id = w.doc_id),
+f AS (SELECT h, MIN(doc_id) AS first FROM g GROUP BY 1),
+c AS (SELECT DISTINCT g.doc_id, unnest(range(i, i + 50)) AS p FROM g JOIN f ON g.h = f.h WHERE f.first < g.doc_id),
+d AS (SELECT doc_id, list(p) AS ps FROM c GROUP BY 1),
+k AS (SELECT w.doc_id, len(ws) AS n, list_transform(CASE WHEN ps IS NULL THEN range(1, len(ws) + 1)
+        ELSE list_filter(range(1, len(ws) + 1), lambda p: NOT list_contains(ps, p)) END, lambda p: ws[p]) AS kept FROM w LEFT JOIN d ON w.doc_id = d.doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(n - len(kept) AS BIGINT) AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k
+"""
+
+
+@query("op8_substring_dedup", OP8_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loanlab.llm import substr
+    return substr.substring_dedup(table(spark, sf_dir, "documents"), digest=True)
