@@ -71,3 +71,9 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(n - len(kept) AS BIGINT) AS n_
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loanlab.llm import substr
     return substr.substring_dedup(table(spark, sf_dir, "documents"), digest=True)
+
+
+@query("op4_language_id")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loanlab.llm import langid
+    return langid.fit_and_predict(table(spark, sf_dir, "documents"))
