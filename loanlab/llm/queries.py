@@ -77,3 +77,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loanlab.llm import langid
     return langid.fit_and_predict(table(spark, sf_dir, "documents"))
+
+
+@query("op7_decontamination")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loanlab.llm import decontam
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
