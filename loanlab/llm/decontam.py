@@ -33,10 +33,11 @@ def word_array(text: str) -> F.Column:
 
 def seeds(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, seed, at) for each mask and word position, at the masks' first word."""
-    hashed = df.select(key, F.transform(word_array(text), lambda w: F.xxhash64(w)).alias("h")).where(F.size("h") >= SPAN)
+    hashed = df.select(key, F.transform(word_array(text), lambda w: F.xxhash64(w)).alias("h"))
+    # no filter on the size: pushed below the projection, it would split every text twice
     places = hashed.select(key, "h", (F.size("h") - (SPAN - 1)).alias("n"))
     one = lambda m: F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.xxhash64(F.lit(m), *[F.get(F.col("h"), i + o) for o in MASKS[m]]))
-    every = places.select(key, "n", F.posexplode(F.flatten(F.array(*[one(m) for m in range(len(MASKS))]))).alias("p", "seed"))
+    every = places.select(key, "n", F.posexplode(F.when(F.col("n") > 0, F.flatten(F.array(*[one(m) for m in range(len(MASKS))])))).alias("p", "seed"))
     return every.select(key, "seed", (F.col("p") % F.col("n")).alias("at"))
 
 
