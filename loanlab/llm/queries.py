@@ -83,3 +83,18 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loanlab.llm import decontam
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP3_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings WHERE embedding IS NOT NULL),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+@query("op3_topk_search", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loanlab.llm import topk
+    v = table(spark, sf_dir, "embeddings")
+    return topk.top_k(v, v.where("vec_id % 100 = 0"))
