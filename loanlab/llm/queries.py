@@ -98,3 +98,31 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loanlab.llm import topk
     v = table(spark, sf_dir, "embeddings")
     return topk.top_k(v, v.where("vec_id % 100 = 0"))
+
+
+def _op2_sql() -> str:
+    from loanlab.llm.license_scan import BASE, TEMPLATES
+    rows = ", ".join(f"({i}, '{label}', '{notice}', '{key}')" for i, (label, notice, key) in enumerate(TEMPLATES))
+    base = ", ".join(f"('{label}', '{phrase}')" for label, phrase in BASE)
+    return rf"""
+WITH w AS (SELECT doc_id, row_number() OVER () AS r, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM documents),
+t AS (SELECT tid, label, string_split(notice, ' ') AS nw, string_split(k, ' ') AS kw, len(string_split(split_part(notice, k, 1), ' ')) - 1 AS start FROM (VALUES {rows}) AS v(tid, label, notice, k)),
+d AS (SELECT x AS word, ln((1.0 + (SELECT COUNT(*) FROM w)) / (1 + (SELECT COUNT(*) FROM w WHERE list_contains(ws, x)))) + 1e-6 AS idf FROM (SELECT DISTINCT unnest(nw) AS x FROM t)),
+p AS (SELECT r, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+h AS (SELECT p.r, p.ws, p.i, tid, label, nw, start FROM p JOIN t ON p.ws[p.i] = t.kw[1] AND p.ws[p.i:p.i + len(kw) - 1] = kw),
+u AS (SELECT r, i, tid, label, ws[i - start + j - 1] = nw[j] AS eq, nw[j] AS word FROM (SELECT *, unnest(range(1, len(nw) + 1)) AS j FROM h)),
+s AS (SELECT r, i, tid, label, SUM(CASE WHEN eq THEN idf ELSE 0 END) / SUM(idf) AS share FROM u JOIN d ON u.word = d.word GROUP BY ALL),
+b AS (SELECT p.r, p.i, label FROM p JOIN (SELECT label, string_split(phrase, ' ') AS kw FROM (VALUES {base}) AS v(label, phrase)) ON p.ws[p.i] = kw[1] AND p.ws[p.i:p.i + len(kw) - 1] = kw),
+bb AS (SELECT r, COUNT(*) AS n, MIN(i) - 1 AS lo, MAX(i) - 1 AS hi FROM b GROUP BY 1)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_base, CAST(lo AS BIGINT) AS first_word, CAST(hi AS BIGINT) AS last_word,
+  coalesce((SELECT string_agg(DISTINCT label, ',' ORDER BY label) FROM b WHERE b.r = w.r), '') AS base_labels,
+  coalesce((SELECT string_agg(DISTINCT label, ',' ORDER BY label) FROM (SELECT r, label FROM b UNION SELECT r, label FROM s) x WHERE x.r = w.r), '') AS labels,
+  round(coalesce((SELECT MAX(share) FROM s WHERE s.r = w.r), 0), 6) AS score
+FROM w LEFT JOIN bb ON w.r = bb.r
+"""
+
+
+@query("op2_license_scan", _op2_sql())
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loanlab.llm import license_scan
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
