@@ -126,3 +126,9 @@ FROM w LEFT JOIN bb ON w.r = bb.r
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loanlab.llm import license_scan
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
+@query("op6_url_filter")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loanlab.llm import urls
+    return urls.judge(table(spark, sf_dir, "pages"))
