@@ -132,3 +132,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loanlab.llm import urls
     return urls.judge(table(spark, sf_dir, "pages"))
+
+
+@query("op5_pii")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loanlab.llm import pii
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pii.pseudonymise(docs)
+    return out.withColumnsRenamed({"_entities": "n_entities", "_kinds": "kinds"})
