@@ -33,7 +33,7 @@ _LOCAL = re.compile(r"[\w.+%-]+$")
 _DOMAIN = re.compile(r"(?:[^\W_](?:[\w-]*[^\W_])?\.)+[^\W\d_]{2,}")
 _NUMBER = re.compile(r"\+?\(?\d[\d .()/-]{5,}\d")
 _CARD = re.compile(r"(?<![\w.])\d(?:[ -]?\d){12,18}(?![\w])")
-_PHONE = re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?!\w)")
+_PHONE = re.compile(r"(?<![\w.])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}|\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ -]?\d{2,4}){2,4})(?!\w)(?!\.\d)")
 _SSN = re.compile(r"(?<![\w-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\w-])")
 _IP = re.compile(r"(?<![\w.])(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})(?!\w)(?!\.\d)")
 _IBAN = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
