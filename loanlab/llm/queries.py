@@ -140,3 +140,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = pii.pseudonymise(docs)
     return out.withColumnsRenamed({"_entities": "n_entities", "_kinds": "kinds"})
+
+
+@query("op10_html_text")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loanlab.llm import html
+    return html.train_and_extract(table(spark, sf_dir, "pages"))
