@@ -6,9 +6,10 @@ over all documents (a fixed-size count table, so any size of corpus has the same
 then by hash: any fixed order gives right prefixes, a rare-first one gives short buckets.  Two
 sets with similarity >= 0.8 share a shingle within the first ``n - ceil(0.8 n) + 1`` of the longer
 and the first ``n - ceil(8 n / 9) + 1`` of the shorter; buckets of one shingle meet there, under the
-length and positional filters.  Pairs come in two rounds, so that a group of m near copies
+length and positional filters; a pair must also share as many prefix shingles as its
+lengths imply.  Pairs come in two rounds, so that a group of m near copies
 costs m pairs and not m^2: first each bucket's member with the fewest rarer shingles against
-the others; then, after components are formed from the verified links, only pairs that still
+the others (pairs that meet so in two buckets); then, after components are formed from the verified links, only pairs that still
 lie in different components.  A pair within one component cannot change the result, so no
 link between components is lost.  Every pair is verified once, on whole sets, after the suffix
 filter (a lower bound on the Hamming distance from counts between fixed pivots).
@@ -121,12 +122,65 @@ def _verified(batches):
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _fit(x: str, y: str) -> F.Column:
-    """Length and positional filters for a shared shingle at positions x.pos, y.pos."""
-    nx, ny, i, j = (F.col(c) for c in (f"{x}.n", f"{y}.n", f"{x}.pos", f"{y}.pos"))
-    need = 4 * (nx + ny)
-    # the shorter must have it in its indexing prefix: implied by the bound where lengths are equal
-    return (5 * F.least(nx, ny) >= 4 * F.greatest(nx, ny)) & (9 * F.least(nx - i, ny - j) >= need)
+def _keys(bits: int):
+    """Prefix shingles of this task by range of their top bits, with two flags each: seen in
+    several documents, and seen within an indexing prefix."""
+    def out(held):
+        s, index = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(s, kind="stable")
+        s, index = s[order], index[order]
+        new = np.nonzero(np.concatenate([[True], s[1:] != s[:-1]]))[0]
+        keys = s[new]
+        flags = (np.diff(new, append=len(s)) > 1).astype(np.uint8) | (np.add.reduceat(index, new) > 0).astype(np.uint8) << 1
+        part = (keys >> np.int64(64 - bits)) + (1 << (bits - 1))
+        ends = np.searchsorted(part, np.arange((1 << bits) + 1))
+        full = [r for r in range(1 << bits) if ends[r] < ends[r + 1]]
+        return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([keys[ends[r]:ends[r + 1]].tobytes() for r in full], pa.binary()), pa.array([flags[ends[r]:ends[r + 1]].tobytes() for r in full], pa.binary())], names=["part", "keys", "flags"])
+
+    def run(batches):
+        held, size = [], 0
+        for b in batches:
+            n, (ends, flat) = b.column(0).to_numpy(), (b.column(1).offsets.to_numpy(), b.column(1).values.to_numpy())
+            sizes = np.diff(ends)
+            pos = np.arange(ends[-1] - ends[0]) - np.repeat(ends[:-1] - ends[0], sizes)
+            held.append((flat[ends[0]:ends[-1]], (pos < np.repeat(n - (8 * n + 8) // 9 + 1, sizes)).astype(np.int32)))
+            size += len(pos)
+            if size > 1 << 22:
+                yield out(held)
+                held, size = [], 0
+        if size:
+            yield out(held)
+    return run
+
+
+def _shared(t: pa.Table) -> pa.Table:
+    """Shingles of one range that are in several prefixes, one of them an indexing prefix."""
+    s = np.concatenate([np.frombuffer(v, np.int64) for v in values(t.column("keys"))])
+    flags = np.concatenate([np.frombuffer(v, np.uint8) for v in values(t.column("flags"))])
+    order = np.argsort(s, kind="stable")
+    s, flags = s[order], flags[order]
+    new = np.nonzero(np.concatenate([[True], s[1:] != s[:-1]]))[0]
+    any_flag = np.bitwise_or.reduceat(flags, new)
+    ok = ((np.diff(new, append=len(s)) > 1) | (any_flag & 1 > 0)) & (any_flag & 2 > 0)
+    return pa.table({"s": pa.array(s[new][ok], pa.int64())})
+
+
+def _pairs(joined: DataFrame, least_shared) -> DataFrame:
+    """(a, b) of the joined members x, y of buckets whose shared prefix shingles allow a link.
+
+    ``need`` is the least overlap of a link.  Any shared shingle at positions i, j leaves an overlap of
+    at most min(i, j) + min(nx - i, ny - j); the first one leaves min(nx - i, ny - j).  Prefixes of a
+    linked pair share at least ``need - ceil(0.8 max n) + 1`` shingles.
+    """
+    nx, ny, i, j = (F.col(c) for c in ("x.n", "y.n", "x.pos", "y.pos"))
+    fits = (5 * F.least(nx, ny) >= 4 * F.greatest(nx, ny)) & (9 * (F.least(i, j) + F.least(nx - i, ny - j)) >= 4 * (nx + ny))
+    first = F.col("x.doc_id") < F.col("y.doc_id")
+    rows = joined.where(fits).select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"),
+                                     F.when(first, nx).otherwise(ny).alias("na"), F.when(first, ny).otherwise(nx).alias("nb"), F.when(first, i).otherwise(j).alias("i"), F.when(first, j).otherwise(i).alias("j"))
+    each = rows.groupBy("a", "b").agg(F.count("*").alias("c"), *[F.min(c).alias(c) for c in ("na", "nb", "i", "j")])
+    need = F.ceil(4 * (F.col("na") + F.col("nb")) / 9)
+    shared = need - F.ceil(4 * F.greatest("na", "nb") / 5) + 1
+    return each.where((F.least(F.col("na") - F.col("i"), F.col("nb") - F.col("j")) >= need) & (F.col("c") >= least_shared(shared))).select("a", "b")
 
 
 def similarity_links(docs: DataFrame, sets_from: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -161,17 +215,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     prefixes = map_arrow(docs.where("doc_id is not null"), _prefixes(common), "doc_id long, n long, k1 long, prefix array<long>")
     prefixes = reliable(prefixes.where(F.size("prefix") > 0).join(broadcast_if_small(others, 64), ["doc_id", "k1"], "left_anti").select("doc_id", "n", "prefix"))
+    total = prefixes.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    bits = min(16, max(8, (total >> 20).bit_length()))  # about a million shingles in each range
+    shared = reliable(map_arrow(prefixes.select("n", "prefix"), _keys(bits), "part int, keys binary, flags binary").groupBy("part").applyInArrow(_shared, "s long"))
     posted = prefixes.select("doc_id", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "s"))
-    indexed = F.col("pos") < F.col("n") - F.floor((8 * F.col("n") + 8) / 9) + 1
-    shared = posted.groupBy("s").agg(F.sum(F.when(indexed, F.lit((1 << 32) + 1)).otherwise(F.lit(1))).alias("c"))
-    shared = reliable(shared.where((F.col("c") >= 1 << 32) & (F.col("c") % (1 << 32) >= 2)).select("s"))
     posted = reliable(posted.join(broadcast_if_small(shared, 48), "s", "left_semi"))
 
     hubs = reliable(posted.groupBy("s").agg(F.min(F.struct("pos", "n", "doc_id")).alias("h")).select("s", "h.pos", "h.n", "h.doc_id"))
-    star = posted.alias("x").join(broadcast_if_small(hubs, 96).alias("y"), F.col("x.s") == F.col("y.s"))
-    star = star.where((F.col("x.doc_id") != F.col("y.doc_id")) & _fit("x", "y"))
-    pair = [F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")]
-    tried = reliable(star.select(*pair).distinct())
+    star = posted.alias("x").join(broadcast_if_small(hubs, 96).alias("y"), (F.col("x.s") == F.col("y.s")) & (F.col("x.doc_id") != F.col("y.doc_id")))
+    # hubs differ from bucket to bucket, so a pair may meet in fewer buckets than it shares
+    tried = reliable(_pairs(star, lambda shared: F.least(shared, F.lit(2))))
     links = reliable(similarity_links(docs, docs, tried).union(own))
     roots = reliable(components(links))
 
@@ -181,8 +234,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     mixed = reliable(member.groupBy("s").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("s"))
     member = reliable(member.join(broadcast_if_small(mixed, 48), "s", "left_semi"))
     x, y = member.alias("x"), member.alias("y")
-    rest = x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.doc_id") < F.col("y.doc_id")) & (F.col("x.root") != F.col("y.root")) & _fit("x", "y"))
-    rest = reliable(rest.select(*pair).distinct().join(tried, ["a", "b"], "left_anti"))
+    rest = x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.doc_id") < F.col("y.doc_id")) & (F.col("x.root") != F.col("y.root")))
+    rest = reliable(_pairs(rest, lambda shared: shared).join(tried, ["a", "b"], "left_anti"))
     more = reliable(similarity_links(docs, docs, rest))
     roots = reliable(components(links.union(more))) if more.take(1) else roots
 
