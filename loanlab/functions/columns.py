@@ -74,11 +74,20 @@ def hash_u32(key, seed, salt: str = "", salt_col=None) -> Column:
     sample/split below is reproducible on any cluster and by a SQL engine:
     ``('0x' || substr(md5(seed || ':' || key), 1, 8))::BIGINT`` in DuckDB.
     """
+    return _hash_hex(key, seed, salt, salt_col, 8)
+
+
+def hash_u60(key, seed, salt: str = "", salt_col=None) -> Column:
+    """The same hash from the first 15 hex digits: 60 bits, for choices among many rows."""
+    return _hash_hex(key, seed, salt, salt_col, 15)
+
+
+def _hash_hex(key, seed, salt, salt_col, digits: int) -> Column:
     parts = [F.lit(f"{seed}:{salt}:" if salt else f"{seed}:")]
     if salt_col is not None:
         parts += [_c(salt_col).cast("string"), F.lit(":")]
     parts.append(_c(key).cast("string"))
-    return F.conv(F.substring(F.md5(F.concat(*parts)), 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(F.md5(F.concat(*parts)), 1, digits), 16, 10).cast("bigint")
 
 
 def unit_hash(key, seed, salt: str = "") -> Column:
@@ -86,10 +95,10 @@ def unit_hash(key, seed, salt: str = "") -> Column:
     return hash_u32(key, seed, salt) / F.lit(TWO_32)
 
 
-def sql_hash_u32(key_sql: str, seed, salt: str = "", salt_sql: str | None = None) -> str:
+def sql_hash_u32(key_sql: str, seed, salt: str = "", salt_sql: str | None = None, digits: int = 8) -> str:
     """The DuckDB text of :func:`hash_u32` (used by the oracle queries)."""
     prefix = f"{seed}:{salt}:" if salt else f"{seed}:"
     txt = f"'{prefix}'"
     if salt_sql is not None:
         txt += f" || CAST({salt_sql} AS VARCHAR) || ':'"
-    return f"CAST(('0x' || substr(md5({txt} || CAST({key_sql} AS VARCHAR)), 1, 8)) AS BIGINT)"
+    return f"CAST(('0x' || substr(md5({txt} || CAST({key_sql} AS VARCHAR)), 1, {digits})) AS BIGINT)"

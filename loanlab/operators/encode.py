@@ -66,9 +66,13 @@ def feature_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner"
     return left.join(right, key, how)
 
 
+def check_features(feature_cols: Sequence[str], label: str | None) -> None:
+    if label is not None and label in feature_cols:
+        raise ValueError("the label cannot be a feature")
+
+
 def assemble(df: DataFrame, feature_cols: Sequence[str], label: str | None = None,
              out: str = "features") -> DataFrame:
     """VectorAssembler; the label (and any ``*_id`` key) must not be a feature."""
-    if label is not None and label in feature_cols:
-        raise ValueError("the label cannot be a feature")
+    check_features(feature_cols, label)
     return VectorAssembler(inputCols=list(feature_cols), outputCol=out, handleInvalid="keep").transform(df)

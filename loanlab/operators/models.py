@@ -40,11 +40,18 @@ MAX_TREE_DEPTH = 30          # Spark's ceiling; stands in for "grow until pure"
 TREE_SPEED = dict(cacheNodeIds=True, maxMemoryInMB=1024, checkpointInterval=10)
 
 
+def _penalised(est, kw):
+    """L2 penalty as 1 / (C n): a fixed ``reg``, else set from the training rows when fitted."""
+    if "reg" in kw:
+        return est.setRegParam(kw["reg"])
+    est.inverse_penalty = kw.get("C", 1.0)
+    return est
+
+
 def estimator(kind: str, seed: int = SEED, **kw):
     """Estimators as the analysed scripts configure them (Spark equivalents)."""
     if kind == "logistic":
-        return LogisticRegression(maxIter=kw.get("max_iter", 100), regParam=kw.get("reg", 0.0),
-                                  standardization=False)
+        return _penalised(LogisticRegression(maxIter=kw.get("max_iter", 100), standardization=False), kw)
     if kind == "tree":
         return DecisionTreeClassifier(maxDepth=kw.get("max_depth", MAX_TREE_DEPTH), seed=seed,
                                       impurity=kw.get("impurity", "gini"), maxBins=kw.get("max_bins", 32))
@@ -54,7 +61,7 @@ def estimator(kind: str, seed: int = SEED, **kw):
         return MultilayerPerceptronClassifier(maxIter=kw.get("max_iter", 100), tol=kw.get("tol", 1e-4), seed=seed,
                                               blockSize=kw.get("block_size", 128))
     if kind == "linear_svc":
-        return LinearSVC(maxIter=kw.get("max_iter", 100), regParam=kw.get("reg", 0.0), standardization=False)
+        return _penalised(LinearSVC(maxIter=kw.get("max_iter", 1000), standardization=False), kw)
     if kind in ("sgd_hinge", "sgd_modified_huber"):
         return LinearSGD(loss="hinge" if kind == "sgd_hinge" else "modified_huber", seed=seed,
                          max_iter=kw.get("max_iter", 20))
@@ -111,6 +118,7 @@ class ResampledPipeline:
         self.label, self.key, self.seed, self.weights = label, key, seed, weights
 
     def fit(self, df: DataFrame) -> PipelineModel:
+        encode.check_features(self.feature_cols, self.label)
         clip = isinstance(self.est, NaiveBayes)
         if self.scale:
             bounds = encode.minmax_fit(df, self.feature_cols)
@@ -131,7 +139,10 @@ class ResampledPipeline:
             prepared = prepared.persist()     # compute-bound: keep every partition busy
         else:
             prepared = right_size(prepared, 8 * (len(in_cols) + 3))   # latency-bound iterations
+        stored = prepared
         est = self.est.copy()
+        if getattr(self.est, "inverse_penalty", None) is not None:
+            est.setRegParam(1.0 / (self.est.inverse_penalty * max(1, prepared.count())))
         est.setLabelCol(self.label).setFeaturesCol("features")
         if isinstance(est, MultilayerPerceptronClassifier):
             est.setLayers([len(in_cols), 100, 2])
@@ -144,7 +155,7 @@ class ResampledPipeline:
         try:
             return PipelineModel([scaler, assembler, est.fit(prepared)])
         finally:
-            prepared.unpersist()
+            stored.unpersist()
 
 
 OUTPUT_COLS = ["features", "rawPrediction", "probability", "prediction", "margin", "p1"]
@@ -186,8 +197,11 @@ def fit_many(train: DataFrame, estimators: Mapping[str, Callable[[], ResampledPi
         m = make().fit(train)
         return name, m, time.time() - t0
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        res = list(ex.map(one, estimators.items()))
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+            res = list(ex.map(one, estimators.items()))
+    finally:
+        train.unpersist()
     return {n: m for n, m, _ in res}, [(n, s) for n, _, s in res]
 
 
@@ -212,12 +226,5 @@ def pipeline_of(feature_cols: Sequence[str], kind: str, sampler: str | None = "u
                                      weights=weights)
 
 
-def param_grid_fit(train: DataFrame, feature_cols: Sequence[str], kind: str, param: str, values: Sequence,
-                   sampler: str | None = "under", label: str = "label", key: str = "loan_id") -> dict:
-    """One pipeline per value of one parameter (a sweep), fitted side by side."""
-    makers = {f"{param}={v}": pipeline_of(feature_cols, kind, sampler, label, key, **{param: v}) for v in values}
-    return fit_many(train, makers)[0]
-
-
 __all__ = ["estimator", "ResampledPipeline", "Pipeline", "fit_many", "predict", "score_columns",
-           "long_predictions", "fit_pipeline", "pipeline_of", "param_grid_fit", "scaler_stage"]
+           "long_predictions", "fit_pipeline", "pipeline_of", "scaler_stage"]

@@ -1,15 +1,15 @@
 """Sampling and splitting on a partition-independent hash of the row key.
 
 Every row gets ``h = hash_u32(key, seed)``; order by (h, key) is a seeded random
-permutation that a SQL engine can reproduce.  Exact counts ("the first 75 %",
-"as many as the minority") need a rank in that order.  A global window would run
-in one task, so ``hash_rank`` does it in parallel:
-
-1. histogram of the top 16 hash bits per group: at most groups x 65,536 rows;
-2. exclusive running total per bin over that small histogram;
-3. broadcast the offsets back (size bounded by the histogram) and add
-   ``row_number`` within (group, bin): a window partitioned 65,536 ways per group,
-   so even a class holding a third of the rows is spread over many tasks.
+permutation that a SQL engine can reproduce.  "The first 75 %" or "as many as the minority"
+need only the row at which to stop, not a rank for every row.  ``hash_cut`` finds it: a
+histogram of the top 16 hash bits per group (at most groups x 65,536 rows), the bin in which each
+group's cut falls, and a rank of the keys of those bins alone (1 row in 65,536).  The cut goes back
+as one (hash, key) pair for each group, and the rows are kept by a comparison: no
+column but the key is ever shuffled.
+
+Folds and over-sampling need every row's rank (``hash_rank``): the histogram's running totals are
+joined back (one row per group and bin) and ``row_number`` runs within (group, bin).
 """
 from __future__ import annotations
 
@@ -19,10 +19,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanlab.functions.columns import TWO_32, hash_u32
+from loanlab.functions.columns import TWO_32, hash_u32, hash_u60
+from loanlab.session import cut_lineage
 
 BIN_SHIFT = 16   # 32-bit hash -> 65,536 bins
-HIST_BROADCAST_ROWS = 4_000_000   # broadcast bound for the bin-offset table
+BROADCAST_BYTES = 256 << 20   # of a table that goes to every executor
 
 
 def _keys(by) -> list[str]:
@@ -31,33 +32,69 @@ def _keys(by) -> list[str]:
     return [by] if isinstance(by, str) else list(by)
 
 
+def _binned(df: DataFrame, key: str, seed, salt: str, salt_col: str | None) -> DataFrame:
+    return df.withColumn("_h", hash_u32(key, seed, salt, salt_col)) \
+             .withColumn("_bin", F.shiftright(F.col("_h"), BIN_SHIFT))
+
+
+def _bin_offsets(d: DataFrame, keys: list[str]) -> DataFrame:
+    """(group, bin): rows in the bin, rows before it, rows of the group.  65,536 rows a group at
+    most, whatever the size of the data; the window runs over one group's bins."""
+    hist = d.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_c"))
+    order = Window.partitionBy(*keys).orderBy("_bin")
+    return hist.withColumns({
+        "_off": F.coalesce(F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "_n": F.sum("_c").over(Window.partitionBy(*keys))})
+
+
+def _sized(df: DataFrame, row_bytes: int = 64) -> DataFrame:
+    """Broadcast a materialised frame if its counted size allows it."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
 def hash_rank(df: DataFrame, key: str, seed, by=None, salt: str = "", salt_col: str | None = None,
               out: str = "_rank", with_counts: bool = False) -> DataFrame:
     """Exact 0-based rank in (hash, key) order within each ``by`` group.
 
     ``by`` must be low-cardinality (a class label, a split number).  With
-    ``with_counts`` the group size ``_n`` and the smallest/largest group sizes
-    ``_nmin``/``_nmax`` are added too (from the histogram, no extra job).
+    ``with_counts`` the group size ``_n`` and the smallest group size ``_nmin`` are added.
     """
     keys = _keys(by)
-    d = df.withColumn("_h", hash_u32(key, seed, salt, salt_col)) \
-          .withColumn("_bin", F.shiftright(F.col("_h"), BIN_SHIFT))
-    hist = d.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_c"))
-    wb = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    off = hist.withColumn("_off", F.coalesce(F.sum("_c").over(wb), F.lit(0)))
+    d = _binned(df, key, seed, salt, salt_col)
+    off = cut_lineage(_bin_offsets(d, keys).drop("_c"))
     if with_counts:
-        wg = Window.partitionBy(*keys)
-        off = off.withColumn("_n", F.sum("_c").over(wg))
-        wall = Window.partitionBy()
-        off = off.withColumn("_nmin", F.min("_n").over(wall)).withColumn("_nmax", F.max("_n").over(wall))
-    off = off.drop("_c").persist()
-    # groups x 65,536 rows at most; checked before it is broadcast
-    small = off.count() <= HIST_BROADCAST_ROWS
-    j = d.join(F.broadcast(off) if small else off, keys + ["_bin"])
+        off = off.withColumn("_nmin", F.lit(off.agg(F.min("_n")).first()[0]))
+    else:
+        off = off.drop("_n")
+    j = d.join(_sized(off), keys + ["_bin"])
     wr = Window.partitionBy(*keys, "_bin").orderBy("_h", key)
     return j.withColumn(out, F.col("_off") + F.row_number().over(wr) - 1).drop("_bin", "_off")
 
 
+def hash_cut(df: DataFrame, key: str, seed, take, by=None, salt: str = "", salt_col: str | None = None,
+             out: str = "_in") -> DataFrame:
+    """Adds a boolean: is the row among the first ``take`` of its group in (hash, key) order?
+
+    ``take`` is an expression over ``_n`` (the group's size) and ``_nmin`` (the smallest group's).
+    Equal to ``hash_rank(...) < take`` without ranking, sorting or moving the rows.
+    """
+    keys = _keys(by)
+    d = _binned(df, key, seed, salt, salt_col)
+    bins = cut_lineage(_bin_offsets(d, keys))
+    least = bins.agg(F.min("_n")).first()[0]
+    bins = bins.withColumn("_take", take(F.col("_n"), F.lit(least)).cast("long"))
+    # the bin that holds the last row taken, and that row's place within it
+    edges = bins.where((F.col("_off") < F.col("_take")) & (F.col("_take") <= F.col("_off") + F.col("_c")))
+    edges = cut_lineage(edges.select(*keys, "_bin", (F.col("_take") - F.col("_off")).alias("_place")))
+    inside = d.select(*keys, "_bin", "_h", F.col(key).alias("_key")).join(_sized(edges), keys + ["_bin"])
+    order = Window.partitionBy(*keys, "_bin").orderBy("_h", "_key")
+    cuts = inside.withColumn("_at", F.row_number().over(order)).where(F.col("_at") == F.col("_place"))
+    cuts = cut_lineage(cuts.select(*keys, F.struct("_h", "_key").alias("_cut")))
+    kept = F.coalesce(F.struct("_h", F.col(key).alias("_key")) <= F.col("_cut"), F.lit(False))
+    j = d.join(_sized(cuts), keys, "left") if keys else d.crossJoin(F.broadcast(cuts)) if cuts.count() else d.withColumn("_cut", F.lit(None).cast(cuts.schema["_cut"].dataType))
+    return j.withColumn(out, kept).drop("_h", "_bin", "_cut")
+
+
 def hash_sample(df: DataFrame, key: str, fraction: float, seed=111) -> DataFrame:
     """Rows whose hash falls below ``fraction``: a narrow filter, no shuffle."""
     return df.filter(hash_u32(key, seed) < F.lit(int(fraction * TWO_32)))
@@ -69,9 +106,8 @@ def split_flag(df: DataFrame, key: str, train_frac: float = 0.75, seed=111, exac
     order; otherwise the hash threshold (no shuffle, size within sampling noise)."""
     if not exact:
         return df.withColumn(out, (hash_u32(key, seed, "split") < F.lit(int(train_frac * TWO_32))).cast("int"))
-    r = hash_rank(df, key, seed, salt="split", with_counts=True)
-    return r.withColumn(out, (F.col("_rank") < F.floor(F.col("_n") * F.lit(train_frac))).cast("int")) \
-            .drop("_h", "_rank", "_n", "_nmin", "_nmax")
+    r = hash_cut(df, key, seed, lambda n, _: F.floor(n * F.lit(train_frac)), salt="split")
+    return r.withColumn(out, F.col("_in").cast("int")).drop("_in")
 
 
 def train_test_split(df: DataFrame, key: str, train_frac: float = 0.75, seed=111, exact: bool = True):
@@ -84,11 +120,10 @@ def stratified_shuffle_split(df: DataFrame, key: str, label: str, n_splits: int
                              train_frac: float = 0.75, seed=111) -> DataFrame:
     """``n_splits`` independent stratified splits (they may overlap), long form:
     (split, ..., is_train).  Per class, the first floor(frac*n_class) rows in the
-    split's own hash order are train.  One rank job for all splits."""
+    split's own hash order are train.  The copies are made in place and never shuffled."""
     e = df.withColumn("split", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))))
-    r = hash_rank(e, key, seed, by=["split", label], salt="sss", salt_col="split", with_counts=True)
-    return r.withColumn("is_train", (F.col("_rank") < F.floor(F.col("_n") * F.lit(train_frac))).cast("int")) \
-            .drop("_h", "_rank", "_n", "_nmin", "_nmax")
+    r = hash_cut(e, key, seed, lambda n, _: F.floor(n * F.lit(train_frac)), by=["split", label], salt="sss", salt_col="split")
+    return r.withColumn("is_train", F.col("_in").cast("int")).drop("_in")
 
 
 def kfold_assign(df: DataFrame, key: str, k: int = 3, seed=111, out: str = "fold") -> DataFrame:
@@ -105,25 +140,19 @@ def stratified_kfold(df: DataFrame, key: str, label: str, k: int = 5, seed=111,
 
 def under_sample(df: DataFrame, key: str, label: str, seed=111) -> DataFrame:
     """Every class cut to the smallest class size, without replacement."""
-    r = hash_rank(df, key, seed, by=label, salt="rus", with_counts=True)
-    return r.filter(F.col("_rank") < F.col("_nmin")).drop("_h", "_rank", "_n", "_nmin", "_nmax")
-
-
-BROADCAST_ROWS = 1_000_000   # broadcast bound for the minority side of over_sample
+    return hash_cut(df, key, seed, lambda _, least: least, by=label, salt="rus").filter("_in").drop("_in")
 
 
 def over_sample(df: DataFrame, key: str, label: str, seed=111, minority=None) -> DataFrame:
     """Binary random over-sampling with replacement: all rows plus
     (n_major - n_minor) draws of minority rows.  Draw i takes the minority row of
-    rank ``hash(i) mod n_minor``; the draws are indexed by the majority rows beyond
+    rank ``hash(i) mod n_minor`` (60-bit hash: every row can be drawn, and the bias is below
+    n_minor / 2^60); the draws are indexed by the majority rows beyond
     rank n_minor, so no driver-side range is needed.  ``draw`` is NULL for the
     original rows.
 
-    Skew: a small minority means each of its rows is drawn many times (one hot
-    join key per row), so when the minority has at most ``BROADCAST_ROWS`` rows
-    (counted first: two numbers reach the driver) it is broadcast; a larger
-    minority is shuffle-joined, and then each row is drawn only
-    n_major/n_minor times on average.
+    Skew: each minority row is one join key, drawn n_major/n_minor times on average.  The
+    minority is broadcast only if its estimated bytes are within ``BROADCAST_BYTES``.
     """
     counts = {r[0]: r[1] for r in df.groupBy(label).count().limit(3).collect()}
     if len(counts) != 2:
@@ -136,8 +165,8 @@ def over_sample(df: DataFrame, key: str, label: str, seed=111, minority=None) ->
     minor = r.filter(lab == F.lit(minority))
     need = (r.filter((lab != F.lit(minority)) & (F.col("_rank") >= F.col("_nmin")))
               .select((F.col("_rank") - F.col("_nmin")).alias("draw"), F.col("_nmin").alias("_m")))
-    need = need.withColumn("_pick", F.pmod(hash_u32(F.col("draw"), seed, "draw"), F.col("_m")))
-    if n_minor <= BROADCAST_ROWS:
+    need = need.withColumn("_pick", F.pmod(hash_u60(F.col("draw"), seed, "draw"), F.col("_m")))
+    if n_minor * 16 * len(df.columns) <= BROADCAST_BYTES:
         minor = F.broadcast(minor)
     copies = need.join(minor, minor["_rank"] == need["_pick"]).select(*df.columns, "draw")
     base = df.withColumn("draw", F.lit(None).cast("long"))
@@ -145,16 +174,17 @@ def over_sample(df: DataFrame, key: str, label: str, seed=111, minority=None) ->
 
 
 def poisson_cdf(lam: float) -> list[float]:
-    """Cumulative Poisson probabilities up to the point where the tail is below
-    2**-40 (the hash resolution is 2**-32)."""
-    out, p, acc, k = [], math.exp(-lam), 0.0, 0
-    while True:
+    """Cumulative Poisson probabilities until the tail is below 2**-40 (the hash
+    resolution is 2**-32).  Terms are formed from their logarithms, so no rate underflows."""
+    out, acc, k = [], 0.0, 0
+    while 1.0 - acc >= 2.0 ** -40:
+        p = math.exp(k * math.log(lam) - lam - math.lgamma(k + 1)) if lam > 0 else float(k == 0)
+        if k > lam and p < 2.0 ** -60:   # sums of many terms round: the rest is below the resolution
+            break
         acc += p
         out.append(acc)
-        if 1.0 - acc < 2.0 ** -40 or k > 200:
-            return out
         k += 1
-        p *= lam / k
+    return out
 
 
 def bootstrap_bags(df: DataFrame, key: str, n_bags: int = 10, fraction: float = 1.0, seed=111,
@@ -183,7 +213,3 @@ def bag_weight_sql(key_sql: str, seed, bag_sql: str, fraction: float) -> str:
     u = f"({sql_hash_u32(key_sql, seed, 'bag', bag_sql)} / {TWO_32})"
     cdf = poisson_cdf(fraction)
     return "(" + " + ".join(f"CAST({u} >= {repr(c)} AS INTEGER)" for c in cdf[:-1]) + ")"
-
-
-def with_hash_column(df: DataFrame, key: str, seed, out: str = "_h") -> DataFrame:
-    return df.withColumn(out, hash_u32(key, seed))

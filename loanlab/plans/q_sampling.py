@@ -71,7 +71,7 @@ def _over_sql():
         f"r AS (SELECT event_id, label, {rk} AS rn FROM purchases)",
         "m AS (SELECT COUNT(*) AS nmin FROM purchases WHERE label = 1)",
         f"d AS (SELECT rn - nmin AS draw, nmin FROM r, m WHERE label <> 1 AND rn >= nmin)",
-        f"p AS (SELECT draw, {sql_hash_u32('draw', SEED, 'draw')} % nmin AS pick FROM d)",
+        f"p AS (SELECT draw, {sql_hash_u32('draw', SEED, 'draw', digits=15)} % nmin AS pick FROM d)",
         body=("SELECT event_id, label, CAST(NULL AS BIGINT) AS draw FROM purchases UNION ALL "
               "SELECT r.event_id, r.label, p.draw FROM r JOIN p ON r.rn = p.pick WHERE r.label = 1"))
 

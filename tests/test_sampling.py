@@ -85,7 +85,7 @@ def test_poisson_cdf_tail():
 
 def test_hash_rank_without_broadcast(events, monkeypatch):
     """Above the row bound the offsets are shuffle-joined; the ranks do not change."""
-    monkeypatch.setattr(sampling, "HIST_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(sampling, "BROADCAST_BYTES", 0)
     a = _set(sampling.hash_rank(events, "event_id", 9, by="label"), "event_id", "_rank")
     monkeypatch.undo()
     b = _set(sampling.hash_rank(events, "event_id", 9, by="label"), "event_id", "_rank")
@@ -93,7 +93,40 @@ def test_hash_rank_without_broadcast(events, monkeypatch):
 
 
 def test_over_sample_large_minority_path(events, monkeypatch):
-    monkeypatch.setattr(sampling, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(sampling, "BROADCAST_BYTES", 0)
     a = _set(sampling.over_sample(events, "event_id", "label"), "event_id", "draw")
     monkeypatch.undo()
     assert a == _set(sampling.over_sample(events, "event_id", "label"), "event_id", "draw")
+
+
+@pytest.mark.parametrize("share", [0.0, 0.0001, 0.37, 0.9999, 1.0])
+def test_hash_cut_equals_rank(events, share):
+    got = sampling.hash_cut(events, "event_id", 5, lambda n, _: F.floor(n * share), by="label", salt="x")
+    r = sampling.hash_rank(events, "event_id", 5, by="label", salt="x", with_counts=True)
+    want = r.withColumn("_in", F.col("_rank") < F.floor(F.col("_n") * share))
+    assert _set(got, "event_id", "_in") == _set(want, "event_id", "_in")
+
+
+def test_hash_cut_of_nothing(events):
+    assert sampling.split_flag(events.limit(0), "event_id").count() == 0
+    assert sampling.under_sample(events.limit(0), "event_id", "label").count() == 0
+
+
+def test_under_sample_moves_no_feature(events):
+    wide = events.withColumn("feature", F.col("event_id") * 2.0)
+    plan = sampling.under_sample(wide, "event_id", "label")._jdf.queryExecution().executedPlan().toString()
+    assert not any("Exchange" in line and "feature" in line for line in plan.splitlines())
+
+
+@pytest.mark.parametrize("rate", [0.5, 1.0, 300.0, 800.0])
+def test_poisson_cdf_reaches_one(rate):
+    cdf = sampling.poisson_cdf(rate)
+    assert cdf[-1] == pytest.approx(1.0, abs=1e-11) and all(a <= b for a, b in zip(cdf, cdf[1:]))
+    mean = sum(1 - c for c in cdf)
+    assert mean == pytest.approx(rate, rel=1e-6)
+
+
+def test_the_label_is_no_feature(events):
+    from loanlab.operators import models
+    with pytest.raises(ValueError, match="label"):
+        models.ResampledPipeline(["x", "label"], models.estimator("tree")).fit(events)
