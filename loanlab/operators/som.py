@@ -16,11 +16,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loanlab.functions.columns import hash_u32
-from loanlab.session import right_size
+from loanlab.session import right_size, ship
 
 
 def grid_coords(w: int, h: int, topology: str = "hex") -> np.ndarray:
@@ -118,6 +118,7 @@ def project(df: DataFrame, codebook: np.ndarray, w: int, col: str = "features",
     fields = [f for f in df.schema.fields if f.name in keep]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     schema = (schema + ", " if schema else "") + "node int, gx int, gy int, dist2 double"
+    ship(df.sparkSession)
     return df.select(*keep, col).mapInPandas(run, schema)
 
 
@@ -181,6 +182,13 @@ def fixed_codebook(spark: SparkSession, w: int = 4, h: int = 4, dim: int = 64) -
                         wexpr.alias("w"))
 
 
+def codebook_of_rows(df: DataFrame, col: str, key: str, w: int, h: int, seed=111) -> DataFrame:
+    """Codebook frame of the first w * h rows in (hash, key) order (a bounded sample)."""
+    first = df.withColumn("_h", hash_u32(key, seed, "codebook")).orderBy("_h", key).limit(w * h)
+    node = F.row_number().over(Window.orderBy("_h", key)) - 1
+    return first.select(node.alias("node"), (node % w).alias("gx"), F.floor(node / w).cast("int").alias("gy"), F.col(col).alias("w"))
+
+
 def codebook_array(cb: DataFrame) -> np.ndarray:
     """Codebook frame -> matrix (rows = nodes); bounded by the grid size."""
     rows = sorted(cb.select("node", "w").collect(), key=lambda r: r["node"])
@@ -191,10 +199,16 @@ def _long(cb: DataFrame) -> DataFrame:
     return cb.select("node", "gx", "gy", F.posexplode("w").alias("d", "v"))
 
 
-def u_matrix(cb: DataFrame, w: int, h: int, periodic: bool = True) -> DataFrame:
-    """Mean distance of every node to its 4 grid neighbours (rectangular,
-    wrapping when periodic): codebook self-join on neighbour coordinates."""
-    offs = F.array(*[F.struct(F.lit(a).alias("dx"), F.lit(b).alias("dy")) for a, b in [(1, 0), (-1, 0), (0, 1), (0, -1)]])
+def u_matrix(cb: DataFrame, w: int, h: int, periodic: bool = True, topology: str = "rect") -> DataFrame:
+    """Mean distance of every node to its grid neighbours, wrapping when periodic: 4 on a
+    rectangular grid, 6 on a hexagonal one (odd rows lie half a step to the right, as
+    ``grid_coords`` places them): codebook self-join on neighbour coordinates."""
+    offset = lambda pairs: F.array(*[F.struct(F.lit(a).alias("dx"), F.lit(b).alias("dy")) for a, b in pairs])
+    cross = [(1, 0), (-1, 0), (0, 1), (0, -1)]
+    if topology == "hex":
+        offs = F.when(F.col("gy") % 2 == 1, offset(cross + [(1, 1), (1, -1)])).otherwise(offset(cross + [(-1, 1), (-1, -1)]))
+    else:
+        offs = offset(cross)
     nb = cb.select("node", "gx", "gy", F.explode(offs).alias("o"))
     nx, ny = F.col("gx") + F.col("o.dx"), F.col("gy") + F.col("o.dy")
     if periodic:

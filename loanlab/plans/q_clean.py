@@ -128,11 +128,11 @@ def q_drop_where(spark, sf):
 _OUT_COLS = ["loan_amnt", "dti", "int_rate", "revol_util", "age", "open_acc", "total_acc", "revol_bal"]
 
 
-def _outlier_sql():
+def _outlier_sql(rule: str = "median <> 0 AND max > 5 * q3 - q1"):
     parts = [f"SELECT '{c}' AS feature, quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS median, "
              f"quantile_cont({c}, 0.75) AS q3, CAST(MAX({c}) AS DOUBLE) AS max FROM parsed" for c in _OUT_COLS]
     return parsed_sql(body="SELECT feature, ROUND(q1, 6) AS q1, ROUND(median, 6) AS median, ROUND(q3, 6) AS q3, "
-                           "ROUND(max, 6) AS max, CAST(median <> 0 AND max > 5 * q3 - q1 AS INTEGER) AS is_outlier "
+                           f"ROUND(max, 6) AS max, CAST({rule} AS INTEGER) AS is_outlier "
                            f"FROM ({union_all(parts)})")
 
 
@@ -142,6 +142,19 @@ def q_outlier_columns(spark, sf):
     return rounded(out.withColumn("is_outlier", F.col("is_outlier").cast("int")))
 
 
+# at this factor both values of the flag occur
+@register("outlier_columns_bracketed", _outlier_sql("median <> 0 AND max > 2.5 * (q3 - q1)"))
+def q_outlier_columns_bracketed(spark, sf):
+    out = clean.outlier_columns(parsed_loans(spark, sf), _OUT_COLS, factor=2.5, bracketed=True)
+    return rounded(out.withColumn("is_outlier", F.col("is_outlier").cast("int")))
+
+
+@register("outlier_columns_narrow", _outlier_sql("median <> 0 AND max > 2.5 * q3 - q1"))
+def q_outlier_columns_narrow(spark, sf):
+    out = clean.outlier_columns(parsed_loans(spark, sf), _OUT_COLS, factor=2.5)
+    return rounded(out.withColumn("is_outlier", F.col("is_outlier").cast("int")))
+
+
 _SEQ_COLS = ["revol_bal", "loan_amnt", "total_acc"]
 
 
@@ -161,6 +174,13 @@ def q_iqr_sequential(spark, sf):
         .select("loan_id", *_SEQ_COLS)
 
 
+# at this factor a third of the rows go, and which ones depends on the order of the columns
+@register("iqr_filter_sequential_tight", _seq_sql(2.0, _SEQ_COLS, False))
+def q_iqr_sequential_tight(spark, sf):
+    return clean.remove_outliers(parsed_loans(spark, sf), _SEQ_COLS, k=2.0, mode="sequential") \
+        .select("loan_id", *_SEQ_COLS)
+
+
 @register("iqr_filter_one_pass", _seq_sql(3.0, _SEQ_COLS, True))
 def q_iqr_one_pass(spark, sf):
     return clean.remove_outliers(parsed_loans(spark, sf), _SEQ_COLS, k=3.0, mode="one_pass") \

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from loanlab.functions.columns import sql_hash_u32
 from loanlab.operators import encode, metrics, models, som
 from loanlab.operators.impute import IterativeTreeImputer
 from loanlab.plans.flows import parsed_loans
@@ -53,32 +54,48 @@ def q_som_component_plane(spark, sf):
     return rounded(som.component_plane(cb, _projection(spark, sf), 0))
 
 
-_UM = f"""
+_CB_ROWS = ["cb AS (SELECT CAST(rn AS INTEGER) AS node, d, x AS w FROM (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS x, "
+            "generate_subscripts(embedding, 1) - 1 AS d FROM embeddings) JOIN (SELECT vec_id, rn FROM (SELECT vec_id, ROW_NUMBER() OVER (ORDER BY "
+            f"{sql_hash_u32('vec_id', 111, 'codebook')}, vec_id) - 1 AS rn FROM embeddings) WHERE rn < {W * H}) USING (vec_id))"]
+
+
+def _um_sql(offsets: str) -> str:
+    return "WITH " + ",\n".join(_CB_ROWS) + f"""
 SELECT a.node, CAST(a.node % {W} AS INTEGER) AS gx, CAST(a.node // {W} AS INTEGER) AS gy, ROUND(AVG(dist), 6) AS u FROM (
   SELECT p.node, p.nbr, SQRT(SUM((ca.w - cb2.w) * (ca.w - cb2.w))) AS dist FROM (
-    SELECT node, ((node % {W} + o.dx + {W}) % {W}) + {W} * ((node // {W} + o.dy + {H}) % {H}) AS nbr
-    FROM (SELECT DISTINCT node FROM cb), (VALUES (1, 0), (-1, 0), (0, 1), (0, -1)) o(dx, dy)) p
+    SELECT DISTINCT node, ((node % {W} + o.dx + {W}) % {W}) + {W} * ((node // {W} + o.dy + {H}) % {H}) AS nbr
+    FROM (SELECT DISTINCT node FROM cb), (VALUES {offsets}) o(odd, dx, dy) WHERE o.odd IS NULL OR o.odd = (node // {W}) % 2) p
   JOIN cb ca ON ca.node = p.node JOIN cb cb2 ON cb2.node = p.nbr AND cb2.d = ca.d
   GROUP BY p.node, p.nbr) a
 GROUP BY a.node"""
 
 
-@register("som_u_matrix", _sql(body=_UM))
+_CROSS = "(NULL, 1, 0), (NULL, -1, 0), (NULL, 0, 1), (NULL, 0, -1)"
+
+
+def _rows_codebook(spark, sf):
+    return som.codebook_of_rows(vectors(spark, sf), "features", "vec_id", W, H)
+
+
+@register("som_u_matrix", _um_sql(_CROSS))
 def q_som_u_matrix(spark, sf):
-    # reads the embeddings only to size the codebook dimension from the data
-    dim = vectors(spark, sf).select(F.size("features").alias("n")).agg(F.max("n")).collect()[0][0] or DIM
-    return rounded(som.u_matrix(som.fixed_codebook(spark, W, H, int(dim)), W, H, periodic=True))
+    return rounded(som.u_matrix(_rows_codebook(spark, sf), W, H, periodic=True))
+
+
+@register("som_u_matrix_hex", _um_sql(_CROSS + ", (1, 1, 1), (1, 1, -1), (0, -1, 1), (0, -1, -1)"))
+def q_som_u_matrix_hex(spark, sf):
+    return rounded(som.u_matrix(_rows_codebook(spark, sf), W, H, periodic=True, topology="hex"))
 
 
 @register("som_train")
 def q_som_train(spark, sf):
-    m = som.BatchSOM(10, 10, periodic=True, topology="hex", passes=10).fit(vectors(spark, sf), "features", "vec_id")
+    m = som.BatchSOM(20, 20, periodic=True, topology="hex", passes=20).fit(vectors(spark, sf), "features", "vec_id")
     return m.codebook_frame(spark)
 
 
 @register("som_codebook_roundtrip")
 def q_som_codebook_roundtrip(spark, sf):
-    m = som.BatchSOM(5, 5, passes=5).fit(vectors(spark, sf), "features", "vec_id")
+    m = som.BatchSOM(20, 20, passes=20).fit(vectors(spark, sf), "features", "vec_id")
     path = scratch_path(spark, "som-codebook")
     m.codebook_frame(spark).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
@@ -91,7 +108,7 @@ def q_som_features_fit(spark, sf):
     train, test = split_parts(df)
     bounds = encode.minmax_fit(train, feats)
     scaled = encode.minmax_apply(df, bounds).withColumn("features", F.array(*[F.col(c) for c in feats]))
-    m = som.BatchSOM(10, 10, passes=10).fit(scaled.filter(F.col("is_train") == 1), "features", "loan_id")
+    m = som.BatchSOM(20, 20, passes=20).fit(scaled.filter(F.col("is_train") == 1), "features", "loan_id")
     proj = m.project(scaled, "features", keep=["loan_id", "label", "is_train"])
     ptrain = proj.filter(F.col("is_train") == 1).drop("is_train")
     ptest = proj.filter(F.col("is_train") == 0).drop("is_train")
