@@ -64,7 +64,7 @@ def estimator(kind: str, seed: int = SEED, **kw):
         return _penalised(LinearSVC(maxIter=kw.get("max_iter", 1000), standardization=False), kw)
     if kind in ("sgd_hinge", "sgd_modified_huber"):
         return LinearSGD(loss="hinge" if kind == "sgd_hinge" else "modified_huber", seed=seed,
-                         max_iter=kw.get("max_iter", 20))
+                         max_iter=kw.get("max_iter", 1000))
     if kind == "gbt":
         return GBTClassifier(maxIter=kw.get("rounds", 100), stepSize=kw.get("lr", 0.1),
                              maxDepth=kw.get("max_depth", 5), maxBins=kw.get("max_bins", 255), seed=seed)
@@ -205,12 +205,13 @@ def fit_many(train: DataFrame, estimators: Mapping[str, Callable[[], ResampledPi
     return {n: m for n, m, _ in res}, [(n, s) for n, _, s in res]
 
 
-def long_predictions(models: Mapping[str, PipelineModel], test: DataFrame, key: str, label: str) -> DataFrame:
+def long_predictions(models: Mapping[str, PipelineModel], test: DataFrame, key: str, label: str,
+                     keep: Sequence[str] = ()) -> DataFrame:
     """(model, key, label, prediction, score) for every model, one union."""
     out = None
     for name, m in models.items():
         p = predict(m, test).select(F.lit(name).alias("model"), key, F.col(label).alias("label"),
-                                    "prediction", "score")
+                                    "prediction", "score", *keep)
         out = p if out is None else out.unionByName(p)
     return out
 

@@ -1,13 +1,12 @@
 """Linear classifier trained by distributed stochastic gradient descent (hinge or
 modified Huber loss, L2 penalty) with early stopping on a hashed validation slice.
 
-One round = one Spark job: the current weights (d + 1 numbers) travel in the
-task closure; every partition runs local epochs of mini-batch SGD with
-per-coordinate (AdaGrad) steps over its rows (vectorised numpy) and returns its
-final weights, row count and the
-training/validation loss of the starting weights; Spark sums the count-weighted
-weights and the driver divides (model averaging).  The input is persisted once
-and the weights are plain numbers, so lineage never grows across rounds.
+Rows fall into ``SLICES`` mini-batches by a hash of their key.  One step = one Spark job: the
+weights (d + 1 numbers) travel in the task closure, every partition returns the gradient sum of its
+rows in the step's slice (vectorised numpy) with the losses, Spark adds them up and the driver
+takes an AdaGrad step.  A step depends on which rows are in the slice and not on their order or
+partitioning, so the fitted coefficients do not either (up to the rounding of sums).  The
+input is persisted once and the weights are plain numbers, so lineage never grows.
 
 The fitted model is a ``SQLTransformer`` (a linear expression over the input
 columns): JVM-side scoring and a saveable ``PipelineModel`` stage.
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanlab.functions.columns import TWO_32, hash_u32
-from loanlab.session import right_size
+from loanlab.session import right_size, ship
 
 
 def _losses(z: np.ndarray, loss: str):
@@ -34,41 +33,27 @@ def _losses(z: np.ndarray, loss: str):
     return l, dz
 
 
-def _round_fn(cols: list[str], label: str, w0: np.ndarray, b0: float, loss: str, alpha: float,
-              eta: float, batch: int, epochs: int = 1, adaptive: bool = True):
+SLICES = 2   # mini-batches of one pass over the data
+
+
+def _step_fn(cols: list[str], label: str, w: np.ndarray, b: float, loss: str, piece: int):
+    """Per partition: gradient sum (w then b) and rows of the slice, losses at ``w`` by part."""
     def run(batches):
-        d = len(cols)
-        w, b = w0.copy(), b0
+        g, n = np.zeros(len(cols) + 1), 0
         lt = lv = nt = nv = 0.0
         for pdf in batches:
             x = pdf[cols].to_numpy(dtype=float)
             y = np.where(pdf[label].to_numpy() > 0, 1.0, -1.0)
             val = pdf["_val"].to_numpy() > 0
-            l0, _ = _losses(y * (x @ w0 + b0), loss)
-            lt += l0[~val].sum()
-            nt += (~val).sum()
-            lv += l0[val].sum()
-            nv += val.sum()
-            xt, yt = x[~val], y[~val]
-            gw, gb = np.full(d, 1e-8), 1e-8     # AdaGrad accumulators (per round, per partition)
-            for _ in range(epochs):
-                for s in range(0, len(yt), batch):
-                    xb, yb = xt[s:s + batch], yt[s:s + batch]
-                    _, dz = _losses(yb * (xb @ w + b), loss)
-                    coef = dz * yb
-                    grad_w = xb.T @ coef / len(yb) + alpha * w
-                    grad_b = coef.mean()
-                    if adaptive:
-                        gw += grad_w * grad_w
-                        gb += grad_b * grad_b
-                        w = w - eta * grad_w / np.sqrt(gw)
-                        b = b - eta * grad_b / np.sqrt(gb)
-                    else:
-                        w = w - eta * grad_w
-                        b = b - eta * grad_b
-        if nt + nv == 0:
-            return
-        yield pd.DataFrame({"w": [list(w * nt) + [b * nt]], "lt": [lt], "nt": [nt], "lv": [lv], "nv": [nv]})
+            l, dz = _losses(y * (x @ w + b), loss)
+            lt, nt = lt + l[~val].sum(), nt + (~val).sum()
+            lv, nv = lv + l[val].sum(), nv + val.sum()
+            mine = ~val & (pdf["_slice"].to_numpy() == piece)
+            coef = (dz * y)[mine]
+            g[:-1] += x[mine].T @ coef
+            g[-1] += coef.sum()
+            n += int(mine.sum())
+        yield pd.DataFrame({"g": [list(g)], "n": [float(n)], "lt": [lt], "nt": [float(nt)], "lv": [lv], "nv": [float(nv)]})
     return run
 
 
@@ -77,63 +62,55 @@ class LinearSGD:
     ``p1`` (class-1 probability for modified Huber, else the margin) and
     ``prediction``."""
 
-    def __init__(self, loss: str = "hinge", alpha: float = 1e-4, max_iter: int = 50, tol: float = 1e-3,
+    def __init__(self, loss: str = "hinge", alpha: float = 1e-4, max_iter: int = 1000, tol: float = 1e-3,
                  n_iter_no_change: int = 5, validation_fraction: float = 0.1, eta0: float = 0.2,
-                 batch_size: int = 4, min_local_steps: int = 2000, early_stopping: bool = True, seed: int = 111):
+                 early_stopping: bool = True, seed: int = 111):
         if loss not in ("hinge", "modified_huber"):
             raise ValueError("loss must be 'hinge' or 'modified_huber'")
         self.loss, self.alpha, self.max_iter, self.tol = loss, alpha, max_iter, tol
         self.n_iter_no_change, self.validation_fraction, self.eta0 = n_iter_no_change, validation_fraction, eta0
-        self.batch_size, self.early_stopping, self.seed = batch_size, early_stopping, seed
-        self.min_local_steps = min_local_steps
+        self.early_stopping, self.seed = early_stopping, seed
         self.history: list[tuple[int, float, float]] = []
 
     def fit(self, df: DataFrame, cols: Sequence[str], label: str = "label", key: str = "loan_id") -> SQLTransformer:
         cols = list(cols)
+        ship(df.sparkSession)
         vf = self.validation_fraction if self.early_stopping else 0.0
         data = df.select(*[F.col(c).cast("double").alias(c) for c in cols], F.col(label).alias(label),
-                         (hash_u32(key, self.seed, "sgdval") < F.lit(int(vf * TWO_32))).cast("int").alias("_val"))
-        data = right_size(data, 8 * (len(cols) + 2))
-        # enough local steps per round whatever the partition size (1 epoch at scale)
-        rows = data.count()
-        per_part = max(1.0, rows / max(1, data.rdd.getNumPartitions()))
-        epochs = int(min(50, max(1, np.ceil(self.min_local_steps * self.batch_size / per_part))))
+                         (hash_u32(key, self.seed, "sgdval") < F.lit(int(vf * TWO_32))).cast("int").alias("_val"),
+                         F.pmod(hash_u32(key, self.seed, "sgdslice"), F.lit(SLICES)).cast("int").alias("_slice"))
+        data = right_size(data, 8 * (len(cols) + 3))
         d = len(cols)
-        w, b = np.zeros(d), 0.0
-        best, bad, best_wb = np.inf, 0, (w.copy(), b)
-        schema = "w array<double>, lt double, nt double, lv double, nv double"
+        wb, mean, square, steps = np.zeros(d + 1), np.zeros(d + 1), np.zeros(d + 1), 0
+        best, bad, best_wb = np.inf, 0, wb.copy()
+        schema = "g array<double>, n double, lt double, nt double, lv double, nv double"
+        sums = [F.array(*[F.sum(F.col("g")[i]) for i in range(d + 1)]).alias("g"), *[F.sum(c).alias(c) for c in ("n", "lt", "nt", "lv", "nv")]]
         try:
-            for t in range(self.max_iter):
-                eta = self.eta0 / np.sqrt(t + 1.0)
-                parts = data.mapInPandas(
-                    _round_fn(cols, label, w, b, self.loss, self.alpha, eta, self.batch_size, epochs),
-                    schema)
-                agg = parts.select(F.posexplode("w").alias("i", "v"), "lt", "nt", "lv", "nv") \
-                           .groupBy("i").agg(F.sum("v").alias("v"), F.sum("lt").alias("lt"),
-                                             F.sum("nt").alias("nt"), F.sum("lv").alias("lv"),
-                                             F.sum("nv").alias("nv")).collect()
-                if not agg:
+            for t in range(self.max_iter * SLICES):
+                step = data.mapInPandas(_step_fn(cols, label, wb[:d], wb[d], self.loss, t % SLICES), schema)
+                r = step.agg(*sums).first()
+                if not r["nt"]:
                     break
-                nt, nv = max(agg[0]["nt"], 1.0), agg[0]["nv"]
-                wsum = np.zeros(d + 1)
-                for r in agg:
-                    wsum[r["i"]] = r["v"]
-                train_loss = agg[0]["lt"] / nt + 0.5 * self.alpha * float(w @ w)
-                val_loss = agg[0]["lv"] / nv if nv else train_loss
-                self.history.append((t, train_loss, val_loss))
-                score = val_loss if self.early_stopping and nv else train_loss
-                if score < best - self.tol:
-                    best, bad, best_wb = score, 0, (w.copy(), b)
-                else:
-                    bad += 1
-                    if bad >= self.n_iter_no_change:
-                        break
-                w, b = wsum[:d] / nt, wsum[d] / nt
+                if t % SLICES == 0:   # once a pass: has it become better?
+                    train_loss = r["lt"] / r["nt"] + 0.5 * self.alpha * float(wb[:d] @ wb[:d])
+                    val_loss = r["lv"] / r["nv"] if r["nv"] else train_loss
+                    self.history.append((t // SLICES, train_loss, val_loss))
+                    score = val_loss if self.early_stopping and r["nv"] else train_loss
+                    if score < best - self.tol:
+                        best, bad, best_wb = score, 0, wb.copy()
+                    else:
+                        bad += 1
+                        if bad >= self.n_iter_no_change:
+                            break
+                if r["n"]:
+                    g = np.array(r["g"]) / r["n"]
+                    g[:d] += self.alpha * wb[:d]
+                    steps += 1
+                    mean, square = 0.9 * mean + 0.1 * g, 0.99 * square + 0.01 * g * g
+                    wb = wb - self.eta0 * (mean / (1 - 0.9 ** steps)) / (np.sqrt(square / (1 - 0.99 ** steps)) + 1e-8)
         finally:
             data.unpersist()
-        if not self.early_stopping:
-            best_wb = (w, b)
-        self.coef_, self.intercept_ = best_wb
+        self.coef_, self.intercept_ = best_wb[:d], best_wb[d]
         return self.as_transformer(cols)
 
     def as_transformer(self, cols: Sequence[str]) -> SQLTransformer:
