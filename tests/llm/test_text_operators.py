@@ -75,6 +75,9 @@ def test_substring_odd_rows(docs):
     assert [n for n, _ in by[4]] == [60, 60] and [n for n, _ in by[None]] == [0]
     assert by[5][0][0] == 70  # its windows start in document 3, too
     assert substr.substring_dedup(docs([(1, t)]).limit(0)).count() == 0
+    part = " ".join(brute.prose(12, 20) + t.split() + brute.prose(13, 20))  # a repeated row that loses a passage
+    again = substr.substring_dedup(docs([(1, t), (2, part), (2, part), (2, u)])).collect()
+    assert sorted((r.doc_id, r.n_removed) for r in again) == [(1, 0), (2, 55), (2, 60), (2, 60)]
 
 
 def test_language_code_lengths_equal_ppm(spark, docs):
