@@ -9,7 +9,7 @@ and the first ``n - ceil(8 n / 9) + 1`` of the shorter; buckets of one shingle m
 length and positional filters; a pair must also share as many prefix shingles as its
 lengths imply.  Pairs come in two rounds, so that a group of m near copies
 costs m pairs and not m^2: first each bucket's member with the fewest rarer shingles against
-the others (pairs that meet so in two buckets); then, after components are formed from the verified links, only pairs that still
+the others; then, after components are formed from the verified links, only pairs that still
 lie in different components.  A pair within one component cannot change the result, so no
 link between components is lost.  Every pair is verified once, on whole sets, after the suffix
 filter (a lower bound on the Hamming distance from counts between fixed pivots).
@@ -165,22 +165,25 @@ def _shared(t: pa.Table) -> pa.Table:
     return pa.table({"s": pa.array(s[new][ok], pa.int64())})
 
 
-def _pairs(joined: DataFrame, least_shared) -> DataFrame:
-    """(a, b) of the joined members x, y of buckets whose shared prefix shingles allow a link.
+def _pairs(joined: DataFrame) -> DataFrame:
+    """(a, b) of the joined members x, y of buckets that pass the length and positional filters.
 
-    ``need`` is the least overlap of a link.  Any shared shingle at positions i, j leaves an overlap of
-    at most min(i, j) + min(nx - i, ny - j); the first one leaves min(nx - i, ny - j).  Prefixes of a
-    linked pair share at least ``need - ceil(0.8 max n) + 1`` shingles.
+    The first shingle that a linked pair shares, at positions i and j, leaves an overlap of at most
+    min(nx - i, ny - j), so this bound holds in one bucket at least.
     """
     nx, ny, i, j = (F.col(c) for c in ("x.n", "y.n", "x.pos", "y.pos"))
-    fits = (5 * F.least(nx, ny) >= 4 * F.greatest(nx, ny)) & (9 * (F.least(i, j) + F.least(nx - i, ny - j)) >= 4 * (nx + ny))
-    first = F.col("x.doc_id") < F.col("y.doc_id")
-    rows = joined.where(fits).select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"),
-                                     F.when(first, nx).otherwise(ny).alias("na"), F.when(first, ny).otherwise(nx).alias("nb"), F.when(first, i).otherwise(j).alias("i"), F.when(first, j).otherwise(i).alias("j"))
-    each = rows.groupBy("a", "b").agg(F.count("*").alias("c"), *[F.min(c).alias(c) for c in ("na", "nb", "i", "j")])
-    need = F.ceil(4 * (F.col("na") + F.col("nb")) / 9)
-    shared = need - F.ceil(4 * F.greatest("na", "nb") / 5) + 1
-    return each.where((F.least(F.col("na") - F.col("i"), F.col("nb") - F.col("j")) >= need) & (F.col("c") >= least_shared(shared))).select("a", "b")
+    fits = (5 * F.least(nx, ny) >= 4 * F.greatest(nx, ny)) & (9 * F.least(nx - i, ny - j) >= 4 * (nx + ny))
+    return joined.where(fits).select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
+
+
+def _likely(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """Pairs that share as many prefix shingles as a link needs: with an overlap of ``need``,
+    prefixes of n - ceil(0.8 n) + 1 share at least need - ceil(0.8 max n) + 1."""
+    ids = reliable(pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct())
+    some = reliable(prefixes.join(broadcast_if_small(ids, 48), "doc_id", "left_semi"))
+    x, y = (some.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{c}"), F.col("prefix").alias(f"p{c}")) for c in ("a", "b"))
+    need = F.ceil(4 * (F.col("na") + F.col("nb")) / 9) - F.ceil(4 * F.greatest("na", "nb") / 5) + 1
+    return pairs.join(x, "a").join(y, "b").where(F.size(F.array_intersect("pa", "pb")) >= need).select("a", "b")
 
 
 def similarity_links(docs: DataFrame, sets_from: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -223,8 +226,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     hubs = reliable(posted.groupBy("s").agg(F.min(F.struct("pos", "n", "doc_id")).alias("h")).select("s", "h.pos", "h.n", "h.doc_id"))
     star = posted.alias("x").join(broadcast_if_small(hubs, 96).alias("y"), (F.col("x.s") == F.col("y.s")) & (F.col("x.doc_id") != F.col("y.doc_id")))
-    # hubs differ from bucket to bucket, so a pair may meet in fewer buckets than it shares
-    tried = reliable(_pairs(star, lambda shared: F.least(shared, F.lit(2))))
+    tried = reliable(_likely(reliable(_pairs(star)), prefixes))
     links = reliable(similarity_links(docs, docs, tried).union(own))
     roots = reliable(components(links))
 
@@ -235,7 +237,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     member = reliable(member.join(broadcast_if_small(mixed, 48), "s", "left_semi"))
     x, y = member.alias("x"), member.alias("y")
     rest = x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.doc_id") < F.col("y.doc_id")) & (F.col("x.root") != F.col("y.root")))
-    rest = reliable(_pairs(rest, lambda shared: shared).join(tried, ["a", "b"], "left_anti"))
+    rest = reliable(_pairs(rest).join(tried, ["a", "b"], "left_anti"))
+    rest = reliable(_likely(rest, prefixes)) if rest.take(1) else rest
     more = reliable(similarity_links(docs, docs, rest))
     roots = reliable(components(links.union(more))) if more.take(1) else roots
 
