@@ -54,9 +54,9 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     # one row for each document with hits: its diagonals, verified where the text is read again
     lines = reliable(lines.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "at", "iw")).alias("ls")))
     texts = docs.join(broadcast_if_small(lines, 4096), "doc_id").select("doc_id", word_array("text").alias("w"), "ls")
-    same = lambda l: F.transform(l["iw"], lambda x, i: F.when(F.get(F.col("w"), i + l["at"]) == x, 1).otherwise(0))
-    checked = texts.select("doc_id", F.transform("ls", lambda l: F.struct(l["item_id"].alias("item_id"), l["at"].alias("at"), same(l).alias("eq"))).alias("ls"))
-    checked = checked.select("doc_id", F.inline("ls"))
+    # the generator keeps the split out of the comparisons, which would repeat it for every word
+    pairs = texts.select("doc_id", "w", F.inline("ls"))
+    checked = pairs.select("doc_id", "item_id", "at", F.transform("iw", lambda x, i: F.when(F.get(F.col("w"), i + F.col("at")) == x, 1).otherwise(0)).alias("eq"))
     total = lambda a: F.aggregate(a, F.lit(0), lambda x, y: x + y)
     run = F.exists(F.sequence(F.lit(1), F.greatest(F.size("eq") - (RUN - 1), F.lit(1))), lambda i: total(F.slice("eq", i, RUN)) >= RUN_EQUAL)
     checked = checked.select("doc_id", "item_id", "at", F.size("eq").cast("long").alias("n_words"), total(F.col("eq")).cast("long").alias("n_equal"), run.alias("run"))
