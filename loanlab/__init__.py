@@ -7,7 +7,7 @@ functions  column-level helpers (parsing, value maps, the partition-independent
 operators  cleaning, missing data, encoding, profiling, sampling, metrics, models,
            ensembles, selection, explanation, self-organizing map
 plans      end-to-end flows and the query/oracle registry used by ``__spark_entry__``
-streaming  intentionally empty: the reproduced workload has no streaming part
+llm        training-data operators; nothing else here imports it
 """
 
 __version__ = "0.1.0"
