@@ -54,7 +54,7 @@ def _bucket(s: np.ndarray) -> np.ndarray:
 
 def _sizes(batches):
     """Per document id, set size and 128-bit set key; then this task's bucket counts in chunks."""
-    hashes, counts = WordHashes(), np.zeros(BUCKETS, np.int64)
+    hashes, counts = WordHashes(), np.zeros(BUCKETS, np.uint32)
     for b in batches:
         n, k1, k2 = [], [], []
         for v in values(b.column(1)):
@@ -145,7 +145,7 @@ def _keys(bits: int):
             pos = np.arange(ends[-1] - ends[0]) - np.repeat(ends[:-1] - ends[0], sizes)
             held.append((flat[ends[0]:ends[-1]], (pos < np.repeat(n - (8 * n + 8) // 9 + 1, sizes)).astype(np.int32)))
             size += len(pos)
-            if size > 1 << 22:
+            if size > 1 << 20:
                 yield out(held)
                 held, size = [], 0
         if size:

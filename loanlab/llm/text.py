@@ -11,7 +11,7 @@ from loanlab.session import checkpoint_dir, ship
 
 #: A broadcast from these operators never passes this many bytes; beyond it a shuffle join is used.
 BROADCAST_BYTES = 64 << 20
-WORD_CACHE = 200_000
+WORD_CACHE = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
