@@ -1,5 +1,6 @@
 """Operators 4, 7, 8 and 9 against plain versions: nulls, empty and long texts, ties, repeated rows,
 empty tables and extra columns."""
+import itertools
 import random
 
 import pytest
@@ -133,3 +134,30 @@ def test_decontamination(spark, docs):
     assert got == [(d, i) for d in (1, 2, 4, 7, 9) for i in (50, 53)]
     assert decontam.contaminated(docs(rows), items.limit(0)).count() == 0
     assert decontam.contaminated(docs(rows).limit(0), items).count() == 0
+
+
+def test_decontamination_no_accepted_pattern_is_missed(spark, docs):
+    """Every placement of the changed words that the rule accepts has the hits that it asks for."""
+    least = decontam.least_hits()
+    for n in range(8, 17):
+        for equal in itertools.product((0, 1), repeat=n):
+            run = any(sum(equal[i:i + 13]) >= 11 for i in range(n - 12))
+            if run or sum(equal) >= 8 and 5 * sum(equal) >= 3 * n:
+                hits = sum(all(equal[i + o] for o in m) for m in decontam.MASKS for i in range(n - m[-1]))
+                assert hits >= least[n - 1] > 0
+    assert min(least) == 1
+    item, other = [f"w{i}" for i in range(15)], [f"v{i}" for i in range(12)]
+    rows = [(i, "before " + " ".join("changed" if k in gone else w for k, w in enumerate(words)) + " after")
+            for i, (words, gone) in enumerate([(item, g) for g in itertools.combinations(range(15), 6)] + [(other, g) for g in itertools.combinations(range(12), 3)])]
+    items = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(other))], "item_id long, text string")
+    got = decontam.contaminated(docs(rows), items).groupBy("item_id").count().collect()
+    assert {r.item_id: r["count"] for r in got} == {1: 5005, 2: 220}
+
+
+def test_decontamination_short_items_and_unspaced_scripts(spark, docs):
+    chinese = "机器学习模型的训练数据需要仔细清理才能使用"
+    rows = [(1, "so What Is, the capital here"), (2, "what is a capital"), (3, "a b"), (4, "one"), (5, "abone b"), (6, "前言" + chinese + "。后记"),
+            (7, "前言" + chinese.replace("模型", "网络").replace("清理", "筛选") + "后记"), (8, "完全不同的一段中文文字没有任何关系"), (9, "b a"), (10, "the capital")]
+    items = spark.createDataFrame([(1, "What is the capital"), (2, "a b"), (3, "One"), (4, chinese), (5, "capital here")], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id) for r in decontam.contaminated(docs(rows), items).collect())
+    assert got == [(1, 1), (1, 5), (3, 2), (4, 3), (6, 4), (7, 4)]
