@@ -32,7 +32,8 @@ AVOID, WIDEN = 8, 16  # attempts that avoid real entities, and that keep the nar
 _LOCAL = re.compile(r"[\w.+%-]+$")
 _DOMAIN = re.compile(r"(?:[^\W_](?:[\w-]*[^\W_])?\.)+[^\W\d_]{2,}")
 _NUMBER = re.compile(r"\+?\(?\d[\d .()/-]{5,}\d")
-_CARD = re.compile(r"(?<![\w.])\d(?:[ -]?\d){12,18}(?![\w])")
+_CARDS = re.compile(r"(?<![\w.])\d(?:[ -]?\d){12,}(?!\w)")
+_GROUP = re.compile(r"\d+")
 _PHONE = re.compile(r"(?<![\w.])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}|\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ -]?\d{2,4}){2,4})(?!\w)(?!\.\d)")
 _SSN = re.compile(r"(?<![\w-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\w-])")
 _IP = re.compile(r"(?<![\w.])(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})(?!\w)(?!\.\d)")
@@ -53,6 +54,33 @@ def iban_rest(s: str) -> int:
     return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97
 
 
+def cards(text: str, start: int, end: int) -> list[tuple[int, int, bool]]:
+    """(start, end, is it whole or evenly grouped) of the card numbers in the digit runs of a span.
+
+    Every start and end on a border between groups is tried, from 19 digits down to 13.  Unbroken numbers
+    and those in groups of four digits or more (the last may be shorter) go before other groupings, which
+    can be made of neighbours by chance; then the first goes before the later, the longer before the shorter."""
+    out = []
+    for run in _CARDS.finditer(text, start, end):
+        groups = [g.span() for g in _GROUP.finditer(text, *run.span())]
+        fits = []
+        for i, (s, _) in enumerate(groups):
+            digits = ""
+            for j in range(i, len(groups)):
+                digits += text[slice(*groups[j])]
+                if len(digits) > 19:
+                    break
+                if len(digits) >= 13 and not luhn(digits):
+                    even = all(b - a >= 4 for a, b in groups[i:j])
+                    fits.append((not even, i, -j))
+        used = set()
+        for ragged, i, back in sorted(fits):
+            if used.isdisjoint(range(i, 1 - back)):
+                used.update(range(i, 1 - back))
+                out.append((groups[i][0], groups[-back][1], not ragged or i == 0 and 1 - back == len(groups)))
+    return out
+
+
 def entities(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of what is found, in order, without overlaps."""
     found = []
@@ -66,17 +94,22 @@ def entities(text: str) -> list[tuple[int, int, str]]:
         at = text.find("@", at + 1)
     for m in _NUMBER.finditer(text):
         s, e = m.span()
-        for kind, p in (("card", _CARD), ("ip", _IP), ("ssn", _SSN), ("phone", _PHONE)):
+        others = []
+        for kind, p in (("ip", _IP), ("ssn", _SSN), ("phone", _PHONE)):
             for x in p.finditer(text, s, min(len(text), e + 1)):
                 if x.end() > e:
                     continue
-                if kind == "card" and luhn(re.sub(r"\D", "", x[0])):
-                    continue
                 if kind == "ip" and any(int(o) > 255 for o in x.groups()):
                     continue
                 if kind == "phone" and not 7 <= len(re.sub(r"\D", "", x[0])) <= 15:
                     continue
-                found.append((*x.span(), kind))
+                others.append((*x.span(), kind))
+        found += others
+        inside = {i for x, y, _ in others for i in range(x + 1, y)}
+        for a, b, sure in cards(text, s, min(len(text), e + 1)):
+            # neighbours that pass by chance may not cut a phone number in two
+            if b <= e and (sure or inside.isdisjoint((a, b))):
+                found.append((a, b, "card"))
     for m in _GIVEN.finditer(text):
         if _SECRET.search(text, max(0, m.start() - 32), m.start()):
             found.append((*m.span(1), "secret"))

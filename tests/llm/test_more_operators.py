@@ -207,3 +207,12 @@ def test_pipeline(spark, sf, docs):
     texts = dict(zip(got["personal_data"].doc_id, got["personal_data"].text))
     assert "joe@mail" not in texts[3] and "@" in texts[3] and texts[1] == rows[0][1]
     assert sorted(corpus_pipeline.run(spark, where).toPandas().doc_id) == [1, 3, 7]
+
+
+def test_cards_beside_other_numbers():
+    for text, want in [("card 4111111111111111 123", ["4111111111111111"]), ("4111 1111 1111 1111 12/27", ["4111 1111 1111 1111"]),
+                       ("12 4111111111111111", ["4111111111111111"]), ("4111111111111111 20 items", ["4111111111111111"]),
+                       ("no 7 4111-1111-1111-1111 123 5500000000000004 1", ["4111-1111-1111-1111", "5500000000000004"]),
+                       ("3782 822463 10005 1234", ["3782 822463 10005"]), ("4111111111111112 123", []), ("4111111111111111x 1", []),
+                       ("4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1", ["4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1"])]:
+        assert [text[s:e] for s, e, k in pii.entities(text) if k == "card"] == want, text
