@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from loanlab.llm.text import broadcast_if_small, map_arrow, reliable, values
 
 KEY = "public-example-key"
-AVOID, WIDEN = 8, 16  # attempts that avoid real entities, and that keep the narrow form
+AVOID, WIDEN = 8, 16  # attempts that avoid real entities, and that keep the narrow form; each later one may be a sign longer
 
 _LOCAL = re.compile(r"[\w.+%-]+$")
 _DOMAIN = re.compile(r"(?:[^\W_](?:[\w-]*[^\W_])?\.)+[^\W\d_]{2,}")
@@ -196,42 +196,44 @@ def _letters(s: str, d: Draw) -> str:
     return "".join(out)
 
 
-def _name(part: str, kind: str, d: Draw) -> str:
+def _name(part: str, kind: str, d: Draw, more: int) -> str:
     script = _script(part[0])
     if script == "other":
-        return _letters(part, d)
+        return _letters(part + "a" * more, d)
     cons, vow = _SYLLABLES[script]
     ends = _ENDINGS[script][kind]
-    stem = "".join(cons[d.below(len(cons))] + vow[d.below(len(vow))] for _ in range(max(2, len(part) // 2)))
+    stem = "".join(cons[d.below(len(cons))] + vow[d.below(len(vow))] for _ in range(max(2, len(part) // 2) + more))
     return (stem[:-1] + ends[d.below(len(ends))]).capitalize()
 
 
 def surrogate(kind: str, norm: str, attempt: int, key: str = KEY) -> str:
-    """The entity's surrogate in normal form."""
+    """The entity's surrogate in normal form; from attempt WIDEN on it grows, so that no number of entities
+    fills the forms there are."""
     d = Draw(key, kind, norm, attempt)
+    more = max(0, attempt - WIDEN + 1)
     if kind == "email":
         local, _, domain = norm.rpartition("@")
         hosts, _, top = domain.rpartition(".")
-        return f"{_letters(local, d)}@{_letters(hosts, Draw(key, 'domain', domain))}.{top}"
+        return f"{_letters(local + "a" * more, d)}@{_letters(hosts, Draw(key, 'domain', domain))}.{top}"
     if kind == "card":
-        body = norm[0] + "".join(str(d.below(10)) for _ in norm[2:])
+        body = norm[0] + "".join(str(d.below(10)) for _ in norm[2:] + "0" * min(more, 19 - len(norm)))
         return body + str((10 - luhn(body + "0")) % 10)
     if kind == "phone":
-        return norm[0] + "".join(str(d.below(10)) if i else str(1 + d.below(9)) for i in range(len(norm) - 1))
+        return norm[0] + "".join(str(d.below(10)) if i else str(1 + d.below(9)) for i in range(len(norm) - 1 + more))
     if kind == "ssn":
-        return "9" + "".join(str(d.below(10)) for _ in norm[1:])  # never issued
+        return "9" + "".join(str(d.below(10)) for _ in norm[1:] + "0" * more)  # never issued
     if kind == "ip":
         spans = {1: (0, 10), 2: (10, 90), 3: (100, 156)}
-        return ".".join(str((lambda s: s[0] + d.below(s[1]))(spans[len(o)] if attempt < WIDEN else (0, 256))) for o in norm.split("."))
+        return ".".join(str((lambda s: s[0] + d.below(s[1]))(spans[len(o)] if attempt < WIDEN else (0, 256))) for o in norm.split(".") + ["0"] * max(0, attempt - 2 * WIDEN + 1))
     if kind == "iban":
-        body = "".join(c if c.isalpha() else str(d.below(10)) for c in norm[4:])
+        body = "".join(c if c.isalpha() else str(d.below(10)) for c in norm[4:] + "0" * more)
         return norm[:2] + f"{98 - iban_rest(norm[:2] + '00' + body):02d}" + body
     if kind == "secret":
         if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", norm):
             hexa = "0123456789abcdef" if norm == norm.lower() else "0123456789ABCDEF"
-            return "".join(hexa[d.below(16)] for _ in norm)
-        return _letters(norm, d)
-    return " ".join(_name(p, kind, d) for p in norm.split(" "))
+            return "".join(hexa[d.below(16)] for _ in norm + "0" * more)
+        return _letters(norm + "a" * more, d)
+    return " ".join(_name(p, kind, d, more) for p in norm.split(" "))
 
 
 def rendered(kind: str, value: str, norm: str, attempt: int, key: str) -> str:
@@ -239,10 +241,10 @@ def rendered(kind: str, value: str, norm: str, attempt: int, key: str) -> str:
     s = surrogate(kind, norm, attempt, key)
     if kind in ("card", "phone", "ssn"):
         digits = iter(s)
-        return "".join(next(digits) if c.isdigit() else c for c in value)
+        return "".join(next(digits) if c.isdigit() else c for c in value) + "".join(digits)
     if kind == "iban":
         signs = iter(s)
-        return "".join(c if c == " " else next(signs) for c in value)
+        return "".join(c if c == " " else next(signs) for c in value) + "".join(signs)
     if kind == "email" and value == value.upper() and value != value.lower():
         return s.upper()
     return s
@@ -272,6 +274,7 @@ def redrawn(known: DataFrame, key: str = KEY) -> DataFrame:
     """(kind, norm, attempt) of the distinct entities ``known`` whose first surrogate was not free."""
     schema = "kind string, norm string, attempt int, made string"
     have = reliable(map_arrow(known.withColumn("attempt", F.lit(0)), _drawn(key), schema))
+    parts = have.rdd.getNumPartitions()  # each round's union would double them
     while True:
         first = reliable(have.groupBy("kind", "made").agg(F.min("norm").alias("owner"), F.max("norm").alias("last")).where("owner < last").drop("last"))
         shared = have.join(broadcast_if_small(first, 200), ["kind", "made"]).where("norm <> owner").select("kind", "norm")
@@ -282,7 +285,7 @@ def redrawn(known: DataFrame, key: str = KEY) -> DataFrame:
             return have.where("attempt > 0").select("kind", "norm", "attempt")
         again = broadcast_if_small(again, 200)
         more = have.join(again, ["kind", "norm"], "left_semi").select("kind", "norm", (F.col("attempt") + 1).alias("attempt"))
-        have = reliable(have.join(again, ["kind", "norm"], "left_anti").unionByName(map_arrow(more, _drawn(key), schema)))
+        have = reliable(have.join(again, ["kind", "norm"], "left_anti").unionByName(map_arrow(more, _drawn(key), schema)).coalesce(parts))
 
 
 def _replaced(at: int, width: int, key: str, names: list[str]):

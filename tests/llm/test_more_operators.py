@@ -216,3 +216,17 @@ def test_cards_beside_other_numbers():
                        ("3782 822463 10005 1234", ["3782 822463 10005"]), ("4111111111111112 123", []), ("4111111111111111x 1", []),
                        ("4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1", ["4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1"])]:
         assert [text[s:e] for s, e, k in pii.entities(text) if k == "card"] == want, text
+
+
+def test_surrogates_never_run_out(docs):
+    """More one-letter addresses at one domain than there are letters to draw; every kind grows after WIDEN attempts."""
+    rows = [(i, f"write to {c}@x.com") for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")]
+    made = [r.text.split()[-1] for r in pii.pseudonymise(docs(rows)).collect()]
+    assert len(set(made)) == 26 and all(pii.entities(m) == [(0, len(m), "email")] for m in made)
+    for kind, value in [("email", "a@x.com"), ("woman", "li"), ("person", "Ի"), ("secret", "a*******"), ("ssn", "123-45-6789"), ("phone", "+1 234 567"),
+                        ("card", "4222222222222"), ("iban", "GB82 WEST 1234 5698 7654 32"), ("ip", "1.2.3.4")]:
+        n = pii.normal(kind, value)
+        early, late = (pii.surrogate(kind, n, a) for a in (pii.WIDEN - 1, 2 * pii.WIDEN + 8))
+        assert len(late) > len(early), kind
+        assert pii.normal(kind, pii.rendered(kind, value, n, 2 * pii.WIDEN + 8, pii.KEY)) == pii.normal(kind, late)
+    assert luhn_ok(pii.surrogate("card", "4222222222222", 40)) and pii.iban_rest(pii.surrogate("iban", "GB82WEST12345698765432", 40)) == 1
