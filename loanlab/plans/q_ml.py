@@ -66,8 +66,7 @@ def forest_report(spark, sf):
     """Flagship: clean -> split -> under-sample -> forest -> classification report."""
     df, feats = model_table(spark, sf)
     train, test = split_parts(df)
-    m = models.ResampledPipeline(feats, models.estimator("random_forest", trees=50, max_depth=12),
-                                 sampler="under").fit(train)
+    m = models.ResampledPipeline(feats, models.estimator("random_forest"), sampler="under").fit(train)
     return metrics.classification_report(models.predict(m, test))
 
 
@@ -158,7 +157,7 @@ from loanlab.plans.flows import MODEL_NUMERIC  # noqa: E402
 def q_oob_score(spark, sf):
     df, feats = model_table(spark, sf)
     train, _ = split_parts(df)
-    _, res = ensembles.oob_forest(train, feats, n_trees=20)
+    _, res = ensembles.oob_forest(train, feats, n_trees=100)
     return res
 
 
@@ -170,8 +169,7 @@ _STACK_BASES = [("DT", "tree"), ("ANN", "mlp"), ("SGDC", "sgd_hinge"), ("HGBC",
 def q_stacking(spark, sf):
     df, feats = model_table(spark, sf)
     train, test = split_parts(df)
-    bases = {n: models.pipeline_of(feats, k, **({"rounds": 20} if k == "gbt" else {"trees": 20} if k == "random_forest" else {}))
-             for n, k in _STACK_BASES}
+    bases = {n: models.pipeline_of(feats, k) for n, k in _STACK_BASES}
     final = lambda names: models.ResampledPipeline(names, models.estimator("logistic"), sampler="under")
     m = ensembles.Stacking(bases, final, cv=4).fit(train)
     p = m.transform(test)
@@ -269,15 +267,15 @@ def q_feature_set_comparison(spark, sf):
     df, feats = model_table(spark, sf)
     train, test = split_parts(df)
     makers = {"LR": lambda cols: models.ResampledPipeline(cols, models.estimator("logistic")),
-              "RF": lambda cols: models.ResampledPipeline(cols, models.estimator("random_forest", trees=50))}
+              "RF": lambda cols: models.ResampledPipeline(cols, models.estimator("random_forest"))}
     return selection.compare_feature_sets(train, test, {"all": feats, "numeric": MODEL_NUMERIC}, makers)
 
 
 # ------------------------------------------------------------------ explanation
-def _forest(spark, sf, trees=100):
+def _forest(spark, sf):
     df, feats = model_table(spark, sf)
     train, _ = split_parts(df)
-    m = models.ResampledPipeline(feats, models.estimator("random_forest", trees=trees), sampler=None).fit(train)
+    m = models.ResampledPipeline(feats, models.estimator("random_forest"), sampler=None).fit(train)
     return df, feats, m
 
 
@@ -305,5 +303,5 @@ def q_select_by_importance(spark, sf):
 
 @register("tree_nodes")
 def q_tree_nodes(spark, sf):
-    _, feats, m = _forest(spark, sf, trees=10)
+    _, feats, m = _forest(spark, sf)
     return explain.tree_nodes(spark, m, feats, tree=0, max_depth=3)
