@@ -3,11 +3,9 @@ import sys
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
+from paths import ROOT
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
+sys.path.insert(0, ROOT)
 
 
 @pytest.fixture(scope="session")

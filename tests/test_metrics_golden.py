@@ -41,7 +41,7 @@ def test_report_rows_and_zero_division(spark):
 
 def test_auc_matches_spark_evaluator(spark):
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from conftest import SF_MID
+    from paths import SF_MID
     from loanlab.sources.fixtures import scored
     s = scored(spark, SF_MID)
     ours = metrics.roc_auc(s).collect()[0]["auc"]

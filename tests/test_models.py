@@ -3,7 +3,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from paths import SF_MID
 from loanlab.operators import ensembles, explain, metrics, models, selection, som
 from loanlab.operators.impute import IterativeTreeImputer
 from loanlab.plans.flows import model_table, split_parts

@@ -6,7 +6,7 @@ import sys
 import duckdb
 import pytest
 
-from conftest import ROOT, SF_SMALL
+from paths import ROOT, SF_SMALL
 
 sys.path.insert(0, os.path.join(ROOT, "scripts"))
 import oracle_check  # noqa: E402

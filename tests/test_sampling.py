@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from paths import SF_MID
 from loanlab.functions.columns import hash_u32
 from loanlab.operators import sampling
 from loanlab.sources.fixtures import purchases
