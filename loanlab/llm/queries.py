@@ -146,3 +146,68 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loanlab.llm import html
     return html.train_and_extract(table(spark, sf_dir, "pages"))
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT r, doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS i FROM d),
+k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key, MAX(doc_id) AS keeper FROM k WHERE length(key) >= 20 GROUP BY key HAVING COUNT(DISTINCT doc_id) >= 3),
+j AS (SELECT k.r, k.i, k.line, coalesce(k.doc_id < f.keeper, false) AS gone FROM k LEFT JOIN f ON k.key = f.key),
+c AS (SELECT *, lead(gone) OVER (PARTITION BY r ORDER BY i) AS next, i = 1 AND gone AS at_once FROM j),
+s AS (SELECT r, COUNT(*) AS n, COUNT(*) FILTER (WHERE gone) AS g, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS kept,
+    (CASE WHEN bool_or(at_once) THEN '0,' ELSE '' END) || string_agg(i, ',' ORDER BY i) FILTER (WHERE next IS DISTINCT FROM gone) AS keep FROM c GROUP BY r)
+SELECT d.doc_id, CAST(n AS BIGINT) AS n_lines, CAST(g AS BIGINT) AS n_dropped, sha256(kept) AS kept_sha256, keep FROM d JOIN s ON d.r = s.r
+"""
+
+
+@query("op11_line_dedup", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from loanlab.llm import linededup
+    out = linededup.line_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"), F.array_join("keep", ",").alias("keep"))
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loanlab.llm import periodic
+    return periodic.run_digests(table(spark, sf_dir, "documents"), prepare=periodic.made_periodic)
+
+
+OP13_SQL = r"""
+WITH RECURSIVE bits(b, c, n) AS (SELECT b, CAST(b AS BIGINT), 0 FROM range(256) t(b) UNION ALL SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n + 1 FROM bits WHERE n < 8),
+steps AS (SELECT b, c FROM bits WHERE n = 8),
+sums(id, s, v) AS (SELECT DISTINCT doc_id, CAST(doc_id AS VARCHAR), CAST(4294967295 AS BIGINT) FROM documents
+  UNION ALL SELECT id, s[2:], xor(v >> 8, steps.c) FROM sums JOIN steps ON steps.b = xor(v & 255, ascii(s[1])) WHERE length(s) > 0),
+crc AS (SELECT id, xor(v, 4294967295) AS c FROM sums WHERE s IS NULL OR s = ''),
+e AS (SELECT row_number() OVER () AS r, doc_id, lang, crc.c,
+    [CASE WHEN x IS NULL THEN '-' ELSE strlen(x) || ':' || x END FOR x IN [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR), text]] AS p,
+    CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || CAST(n_chars + 1 AS VARCHAR) END AS q
+  FROM documents JOIN crc ON documents.doc_id IS NOT DISTINCT FROM crc.id),
+l AS (SELECT r, doc_id, lang, CASE WHEN lang IS NULL THEN '' ELSE '.' || lang END AS g, sha256(array_to_string(p, '')) AS leaf,
+    CASE WHEN c % 7 = 0 THEN sha256(p[1] || p[2] || p[3] || q || p[5]) ELSE sha256(array_to_string(p, '')) END AS offered FROM e),
+o AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, COUNT(*) OVER (PARTITION BY g) AS n FROM l),
+t(g, k, i, n, h) AS (SELECT g, 0, i, n, leaf FROM o UNION ALL
+  SELECT g, k + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM t WHERE n > 1 GROUP BY g, k, i // 2, n),
+sr AS (SELECT g, h, row_number() OVER (ORDER BY g) - 1 AS i, COUNT(*) OVER () AS n FROM t WHERE n = 1),
+u(k, i, n, h) AS (SELECT 0, i, n, h FROM sr UNION ALL SELECT k + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM u WHERE n > 1 GROUP BY k, i // 2, n),
+sib AS (SELECT o.r, t.k AS k, t.h, t.i & 1 AS side FROM o JOIN t ON o.g = t.g AND t.i = xor(o.i >> t.k, 1)
+  UNION ALL SELECT o.r, 1000 + u.k, u.h, u.i & 1 FROM o JOIN sr ON o.g = sr.g JOIN u ON u.i = xor(sr.i >> u.k, 1)),
+way AS (SELECT o.r, t.k FROM o JOIN (SELECT DISTINCT g, k FROM t WHERE n > 1) t ON o.g = t.g UNION ALL SELECT o.r, 1000 + u.k FROM o, (SELECT DISTINCT k FROM u WHERE n > 1) u),
+steps_up AS (SELECT way.r, row_number() OVER (PARTITION BY way.r ORDER BY way.k) AS s, sib.h, sib.side FROM way LEFT JOIN sib ON way.r = sib.r AND way.k = sib.k),
+f(r, s, h) AS (SELECT r, 0, offered FROM o UNION ALL
+  SELECT f.r, f.s + 1, sha256(CASE WHEN p.h IS NULL THEN f.h WHEN p.side = 0 THEN p.h || f.h ELSE f.h || p.h END) FROM f JOIN steps_up p ON f.r = p.r AND p.s = f.s + 1),
+proof AS (SELECT r, string_agg(h, '' ORDER BY k) AS path FROM sib GROUP BY r),
+root AS (SELECT h FROM u WHERE n = 1),
+ends AS (SELECT r, arg_max(h, s) AS h FROM f GROUP BY r)
+SELECT o.doc_id, o.leaf, sr.h AS subroot, root.h AS root, sha256(coalesce(proof.path, '')) AS proof_sha256, ends.h AS folded_root, ends.h = root.h AS verified
+FROM o JOIN sr ON o.g = sr.g CROSS JOIN root JOIN ends ON o.r = ends.r LEFT JOIN proof ON o.r = proof.r
+"""
+
+
+@query("op13_merkle_manifest", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loanlab.llm import merkle
+    return merkle.document_manifest(table(spark, sf_dir, "documents"))
