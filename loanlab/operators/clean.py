@@ -102,15 +102,15 @@ def drop_missing(df: DataFrame, subset: Sequence[str]) -> DataFrame:
 
 # ---------------------------------------------------------------- outliers
 def outlier_columns(df: DataFrame, cols: Sequence[str], factor: float = 5.0,
-                    bracketed: bool = False, accuracy: int = 100_000) -> DataFrame:
+                    bracketed: bool = False) -> DataFrame:
     """Columns whose maximum is extreme against the quartiles.
 
     As coded in the analysed script: median != 0 and ``max > factor*Q3 - Q1``;
     ``bracketed=True`` uses ``max > factor*(Q3 - Q1)``.  Returns one row per column
     (feature, q1, median, q3, max, is_outlier).
     """
-    from loanlab.operators.profile import quantile_table
-    q = quantile_table(df, cols, [0.25, 0.5, 0.75], accuracy=accuracy)
+    from loanlab.operators.radix import quantile_table
+    q = quantile_table(df, cols, [0.25, 0.5, 0.75])
     wide = (q.groupBy("feature")
              .agg(F.max(F.when(F.col("prob") == 0.25, F.col("value"))).alias("q1"),
                   F.max(F.when(F.col("prob") == 0.5, F.col("value"))).alias("median"),
@@ -128,19 +128,19 @@ def _unpivot(one_row: DataFrame, cols: Sequence[str], value_name: str) -> DataFr
 
 
 def remove_outliers(df: DataFrame, cols: Sequence[str], k: float = 10.0, mode: str = "sequential",
-                    compat: bool = True, accuracy: int = 100_000) -> DataFrame:
+                    compat: bool = True) -> DataFrame:
     """Drop rows with ``x > k * (Q3 - Q1)`` (as coded: no Q3 added).
 
     ``sequential`` recomputes the quartiles after each column (the coded behaviour,
-    order-dependent: one aggregation job per column); ``one_pass`` computes every
+    order-dependent: four counting passes per column); ``one_pass`` computes every
     threshold from the same input in one aggregation.  With IQR 0 the coded rule
     removes every positive value; ``compat=False`` skips such a column instead.
     Gaps never remove a row.
     """
-    from loanlab.operators.profile import quantile_values
+    from loanlab.operators.radix import quantile_values, sequential_iqrs
     cols = list(cols)
     if mode == "one_pass":
-        qs = quantile_values(df, cols, [0.25, 0.75], accuracy=accuracy)
+        qs = quantile_values(df, cols, [0.25, 0.75])
         for c in cols:
             iqr = qs[(c, 0.75)] - qs[(c, 0.25)] if qs[(c, 0.75)] is not None else None
             if iqr is None or (iqr == 0 and not compat):
@@ -149,14 +149,7 @@ def remove_outliers(df: DataFrame, cols: Sequence[str], k: float = 10.0, mode: s
         return df
     if mode != "sequential":
         raise ValueError("mode must be 'sequential' or 'one_pass'")
-    # one quantile job per column over the shrinking frame: compute the input once
-    df = df.persist()
-    for c in cols:
-        qs = quantile_values(df, [c], [0.25, 0.75], accuracy=accuracy)
-        if qs[(c, 0.75)] is None:
-            continue
-        iqr = qs[(c, 0.75)] - qs[(c, 0.25)]
-        if iqr == 0 and not compat:
-            continue
-        df = drop_where(df, F.col(c) > F.lit(k * iqr))
+    for c, at in zip(cols, sequential_iqrs(df, cols, lambda iqr: None if iqr == 0 and not compat else k * iqr)):
+        if at is not None:
+            df = drop_where(df, F.col(c) > F.lit(at))
     return df

@@ -5,153 +5,42 @@ Scale notes
 -----------
 * Per-column statistics are computed in one wide aggregation (partial aggregation on
   the map side), never one job per column.
-* Exact quantiles never gather a whole column in one task (Spark's ``percentile``
-  keeps every distinct value of a group in memory).  ``quantile_table`` brackets
-  each target rank with a mergeable ``percentile_approx`` sketch, then counts
-  exactly below the bracket and inside it; only the few distinct values inside
-  the bracket (about 8·n/accuracy) are ranked, in parallel per (feature, quantile).
+* Exact quantiles come from radix selection (``radix.py``): four counting passes, no
+  sort, no sketch, and no column or group gathered in one task.
 * Correlation over many columns uses co-moments: every partition adds its pairwise
   sums with one matrix product (``mapInPandas``), partials are summed by pair.
 """
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_MAX_GROUPS = 10_000
+from loanlab.operators.radix import BROADCAST_BYTES, quantile_table, quantile_values
+from loanlab.session import cut_lineage
 
+__all__ = ["quantile_table", "quantile_values", "describe", "category_cardinality", "value_counts", "category_by_class", "correlation_matrix",
+           "correlated_pairs", "histogram_by_class", "boxplot_by_class", "fold_score_summary", "top_k"]
 
 def _dbl(c: str):
     return F.col(c).cast("double")
 
 
-def _lit_group_cond(by: str | None, g):
-    if by is None:
-        return F.lit(True)
-    return F.col(by).isNull() if g is None else (F.col(by) == F.lit(g))
-
-
-def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                   by: str | None = None, accuracy: int = 100_000, extra: dict | None = None) -> DataFrame:
-    """Exact linear-interpolated quantiles (pandas/DuckDB ``quantile_cont``).
-
-    Returns (``by``?, column, prob, value).  ``by`` is one low-cardinality column
-    (at most 10,000 groups, checked).  NULLs are skipped; a column without values
-    gives NULL.  ``extra`` maps names to aggregate columns computed in the same
-    first pass (global only); their values are written back into the dict.
-    """
-    spark = df.sparkSession
-    cols, probs = list(cols), sorted(set(float(p) for p in probs))
-    # three passes over the same rows: keep just the needed columns, once
-    df = df.select(*([by] if by else []), *[_dbl(c).alias(c) for c in dict.fromkeys(cols)]).persist()
-    try:
-        return _quantile_table(spark, df, cols, probs, by, accuracy, extra)
-    finally:
-        df.unpersist()
-
-
-def _quantile_table(spark, df, cols, probs, by, accuracy, extra=None):
-    eps = 1.0 / accuracy
-    pts = []
-    for q in probs:
-        pts += [max(0.0, q - 4 * eps), min(1.0, q + 4 * eps)]
-    keys = [by] if by else []
-    # pass 1: bracket sketches and counts per (group, column)
-    aggs = []
-    for i, c in enumerate(cols):
-        aggs.append(F.percentile_approx(_dbl(c), pts, accuracy).alias(f"a{i}"))
-        aggs.append(F.count(c).alias(f"n{i}"))
-    if extra and not keys:
-        aggs += [e.alias(f"x_{k}") for k, e in extra.items()]
-    g1 = (df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)).limit(_MAX_GROUPS + 1).collect()
-    if extra and not keys:
-        for k in list(extra):
-            extra[k] = g1[0][f"x_{k}"]
-    if len(g1) > _MAX_GROUPS:
-        raise ValueError("too many groups for quantile_table")
-    brackets = []   # (gidx, g, column, prob, lo, hi, n, k0, k1, frac)
-    for gi, row in enumerate(g1):
-        g = row[by] if by else None
-        for i, c in enumerate(cols):
-            n = row[f"n{i}"]
-            arr = row[f"a{i}"]
-            for j, q in enumerate(probs):
-                if not n:
-                    brackets.append((gi, g, c, q, None, None, 0, 0, 0, 0.0))
-                    continue
-                pos = q * (n - 1)
-                k0 = int(math.floor(pos))
-                k1 = min(k0 + 1, n - 1) if pos > k0 else k0
-                brackets.append((gi, g, c, q, arr[2 * j], arr[2 * j + 1], n, k0, k1, pos - k0))
-    live = [b for b in brackets if b[6]]
-    results = {}
-    if live:
-        # pass 2: one job counts the rows below each bracket (emitted with x = NULL,
-        # collapsed by the map-side partial aggregation) and the distinct values
-        # inside it; then a running count per bracket locates the two ranks
-        entries = []
-        for t, b in enumerate(live):
-            x, g = _dbl(b[2]), _lit_group_cond(by, b[1])
-            entries.append(F.when(g & (x < F.lit(b[4])), F.struct(F.lit(t).alias("t"), F.lit(None).cast("double").alias("x")))
-                            .when(g & (x <= F.lit(b[5])), F.struct(F.lit(t).alias("t"), x.alias("x"))))
-        inside = (df.select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
-                    .groupBy("t", "x").agg(F.count(F.lit(1)).alias("cnt")))
-        meta = spark.createDataFrame([(t, b[7], b[8]) for t, b in enumerate(live)], "t int, k0 long, k1 long")
-        w = Window.partitionBy("t").orderBy(F.col("x").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-        ranked = inside.join(F.broadcast(meta), "t").withColumn("cum", F.sum("cnt").over(w))
-        picked = ranked.groupBy("t").agg(
-            F.min(F.when(F.col("x").isNotNull() & (F.col("cum") > F.col("k0")), F.col("x"))).alias("x0"),
-            F.min(F.when(F.col("x").isNotNull() & (F.col("cum") > F.col("k1")), F.col("x"))).alias("x1"),
-            F.sum(F.when(F.col("x").isNull(), F.col("cnt")).otherwise(0)).alias("below"))
-        got = {r["t"]: (r["x0"], r["x1"], r["below"]) for r in picked.collect()}
-        for t, b in enumerate(live):
-            x0, x1, blw = got.get(t, (None, None, 0))
-            if x0 is None or x1 is None or blw > b[7]:
-                # sketch bound missed (not expected); exact fallback for this cell only
-                sub = df.filter(_lit_group_cond(by, b[1])).agg(F.percentile(_dbl(b[2]), b[3]).alias("v"))
-                results[t] = sub.collect()[0]["v"]
-            else:
-                results[t] = x0 + b[9] * (x1 - x0)
-    rows = []
-    t = 0
-    results = results if live else {}
-    for b in brackets:
-        if b[6]:
-            v = results[t]
-            t += 1
-        else:
-            v = None
-        rows.append(((b[1],) if by else ()) + (b[2], b[3], None if v is None else float(v)))
-    schema = (f"`{by}` {dict(df.dtypes)[by]}, " if by else "") + "feature string, prob double, value double"
-    return spark.createDataFrame(rows, schema)
-
-
-def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    accuracy: int = 100_000) -> dict:
-    """{(feature, prob): value} for a whole frame."""
-    return {(r["feature"], r["prob"]): r["value"]
-            for r in quantile_table(df, cols, probs, accuracy=accuracy).collect()}
-
-
-def describe(df: DataFrame, cols: Sequence[str], accuracy: int = 100_000) -> DataFrame:
+def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """count, mean, sample std, min, quartiles, max per column (long form)."""
     cols = list(cols)
-    extra = {}
+    aggs = []
     for i, c in enumerate(cols):
-        extra.update({f"count{i}": F.count(c), f"mean{i}": F.avg(_dbl(c)), f"std{i}": F.stddev_samp(_dbl(c)),
-                      f"min{i}": F.min(_dbl(c)), f"max{i}": F.max(_dbl(c))})
-    q = {(r["feature"], r["prob"]): r["value"]
-         for r in quantile_table(df, cols, [0.25, 0.5, 0.75], accuracy=accuracy, extra=extra).collect()}
-    rows = [(c, extra[f"count{i}"], extra[f"mean{i}"], extra[f"std{i}"], extra[f"min{i}"], q[(c, 0.25)],
-             q[(c, 0.5)], q[(c, 0.75)], extra[f"max{i}"]) for i, c in enumerate(cols)]
-    return df.sparkSession.createDataFrame(
-        rows, "feature string, count long, mean double, std double, min double, q25 double, q50 double, "
-              "q75 double, max double")
+        aggs += [F.struct(F.lit(c).alias("feature"), F.count(c).alias("count"), F.avg(_dbl(c)).alias("mean"), F.stddev_samp(_dbl(c)).alias("std"),
+                          F.min(_dbl(c)).alias("min"), F.max(_dbl(c)).alias("max")).alias(f"s{i}")]
+    plain = df.agg(*aggs).select(F.inline(F.array(*[f"s{i}" for i in range(len(cols))])))
+    q = quantile_table(df, cols, [0.25, 0.5, 0.75])  # one row for each column and quartile
+    at = lambda p: F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"q{int(100 * p)}")
+    return plain.join(F.broadcast(q.groupBy("feature").agg(at(0.25), at(0.5), at(0.75))), "feature") \
+        .select("feature", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def category_cardinality(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
@@ -285,42 +174,28 @@ def histogram_by_class(df: DataFrame, cols: Sequence[str], label: str | None, bi
     return g.select("feature", "bin", lo.alias("bin_lo"), hi.alias("bin_hi"), *keep, "count")
 
 
-def boxplot_by_class(df: DataFrame, cols: Sequence[str], label: str, whisker: float = 1.5,
-                     accuracy: int = 100_000) -> DataFrame:
+def boxplot_by_class(df: DataFrame, cols: Sequence[str], label: str, whisker: float = 1.5) -> DataFrame:
     """Quartiles, fences at ``whisker``·IQR, whisker ends inside the fences and the
-    number of points outside, per (class, column)."""
+    number of points outside, per (class, column); any number of classes."""
     cols = list(cols)
-    q = quantile_table(df, cols, [0.25, 0.5, 0.75], by=label, accuracy=accuracy).collect()
-    stats = {}
-    for r in q:
-        stats.setdefault((r[label], r["feature"]), {})[r["prob"]] = r["value"]
-    classes = sorted({k[0] for k in stats}, key=lambda v: (v is None, v))
-    aggs = []
+    q = quantile_table(df, cols, [0.25, 0.5, 0.75], by=label)
+    at = lambda c, p: F.max(F.when((F.col("feature") == c) & (F.col("prob") == p), F.col("value")))
+    boxes = []
     for i, c in enumerate(cols):
-        lo_e = hi_e = None
-        for g in classes:
-            s = stats[(g, c)]
-            if s[0.25] is None:
-                continue
-            iqr = s[0.75] - s[0.25]
-            lo, hi = s[0.25] - whisker * iqr, s[0.75] + whisker * iqr
-            cond = _lit_group_cond(label, g)
-            lo_e = F.when(cond, F.lit(lo)) if lo_e is None else lo_e.when(cond, F.lit(lo))
-            hi_e = F.when(cond, F.lit(hi)) if hi_e is None else hi_e.when(cond, F.lit(hi))
-        if lo_e is None:
-            lo_e = hi_e = F.lit(None).cast("double")
-        x = _dbl(c)
-        aggs += [F.min(F.when(x >= lo_e, x)).alias(f"wl{i}"), F.max(F.when(x <= hi_e, x)).alias(f"wh{i}"),
-                 F.count_if((x < lo_e) | (x > hi_e)).alias(f"no{i}")]
-    w = df.groupBy(label).agg(*aggs)
-    stack = ", ".join(f"'{c}', `wl{i}`, `wh{i}`, `no{i}`" for i, c in enumerate(cols))
-    long = w.selectExpr(f"`{label}`", f"stack({len(cols)}, {stack}) AS (feature, whisker_lo, whisker_hi, n_outliers)")
-    qrows = [(g, c, s[0.25], s[0.5], s[0.75]) for (g, c), s in stats.items()]
-    qdf = df.sparkSession.createDataFrame(
-        qrows, f"`{label}` {dict(df.dtypes)[label]}, feature string, q1 double, median double, q3 double")
-    return qdf.join(long, [label, "feature"]).select(
-        label, "feature", "q1", "median", "q3", (F.col("q3") - F.col("q1")).alias("iqr"),
-        "whisker_lo", "whisker_hi", "n_outliers")
+        iqr = at(c, 0.75) - at(c, 0.25)
+        boxes.append(F.struct(at(c, 0.25).alias("q1"), at(c, 0.5).alias("median"), at(c, 0.75).alias("q3"), iqr.alias("iqr"),
+                              (at(c, 0.25) - whisker * iqr).alias("lo"), (at(c, 0.75) + whisker * iqr).alias("hi")).alias(f"b{i}"))
+    fences = cut_lineage(q.groupBy(F.col(label).alias("_class")).agg(*boxes))
+    small = fences.count() * (32 + 64 * len(cols)) <= BROADCAST_BYTES  # fixed-width rows
+    rows = df.select(label, *[_dbl(c).alias(f"x{i}") for i, c in enumerate(cols)])
+    rows = rows.join(F.broadcast(fences) if small else fences, F.col(label).eqNullSafe(F.col("_class")))
+    out = []
+    for i, c in enumerate(cols):
+        x, b = F.col(f"x{i}"), F.col(f"b{i}")
+        out.append(F.struct(F.lit(c).alias("feature"), *[F.first(b[k]).alias(k) for k in ("q1", "median", "q3", "iqr")],
+                            F.min(F.when(x >= b["lo"], x)).alias("whisker_lo"), F.max(F.when(x <= b["hi"], x)).alias("whisker_hi"),
+                            F.count_if((x < b["lo"]) | (x > b["hi"])).alias("n_outliers")).alias(f"s{i}"))
+    return rows.groupBy(label).agg(*out).select(label, F.inline(F.array(*[f"s{i}" for i in range(len(cols))])))
 
 
 def fold_score_summary(scores: DataFrame, group: str = "model", fold: str = "fold",
