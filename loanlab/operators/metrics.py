@@ -6,19 +6,19 @@ All threshold metrics are arithmetic on four counts from ONE aggregation
 counts, used as they are by Spark (``F.expr``) and by the DuckDB oracle.
 
 Ranking metrics need running totals over distinct scores.  Scores are first
-aggregated per distinct value (partial aggregation), then bucketed by
-approximate quantiles; running totals are exclusive prefix sums over the small
-bucket table plus a window inside each bucket, so no single task ever sees all
-distinct scores.
+aggregated per distinct value (partial aggregation), then range-partitioned;
+running totals are the totals of earlier partitions plus a window inside each
+partition, so no single task ever sees all distinct scores.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loanlab.session import cut_lineage
+
 from loanlab.functions.constants import IMBALANCED_REPORT_ALPHA
 
 
@@ -140,29 +140,23 @@ def _score_counts(df: DataFrame, label: str, score: str, by: Sequence[str]) -> D
                    F.sum(F.when(y == 1, 0).otherwise(1)).cast("double").alias("neg")))
 
 
-def running_totals(d: DataFrame, order: str, cols: Sequence[str], by: Sequence[str] = (),
-                   descending: bool = False, buckets: int = 1024, accuracy: int = 10_000) -> DataFrame:
-    """Inclusive running sums ``cum_<c>`` of ``cols`` in ``order`` within ``by``.
+def running_totals(d: DataFrame, order: str, cols: Sequence[str], by: Sequence[str] = (), descending: bool = False) -> DataFrame:
+    """Inclusive running sums ``cum_<c>`` of ``cols`` in ``order`` (unique within ``by``).
 
-    Two levels: approximate-quantile buckets of ``order`` (a monotone map, so any
-    boundaries give exact totals), exclusive prefix per bucket on the small bucket
-    table, then a window inside each (by, bucket) partition.
+    The rows are range-partitioned by group and order; a group's total before a partition is the sum over its earlier
+    partitions (one row for each group and partition), to which a window within the partition adds.
     """
     by = list(by)
-    qs = [i / buckets for i in range(1, buckets)]
-    b = d.agg(F.percentile_approx(F.col(order), qs, accuracy).alias("b")).collect()[0]["b"] or []
-    inner = sorted(set(x for x in b if x is not None)) or [0.0]   # Bucketizer needs >= 3 splits
-    splits = [float("-inf")] + inner + [float("inf")]
-    dd = Bucketizer(splits=splits, inputCol=order, outputCol="_bk").transform(d)
-    if descending:
-        dd = dd.withColumn("_bk", F.lit(len(splits)) - F.col("_bk"))
-    tot = dd.groupBy(*by, "_bk").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
-    wb = Window.partitionBy(*by).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.select(*by, "_bk", *[F.coalesce(F.sum(f"_t_{c}").over(wb), F.lit(0.0)).alias(f"_o_{c}") for c in cols])
     o = F.col(order).desc() if descending else F.col(order).asc()
-    wi = Window.partitionBy(*by, "_bk").orderBy(o).rowsBetween(Window.unboundedPreceding, 0)
-    out = dd.join(F.broadcast(tot), by + ["_bk"])
-    return out.select(*d.columns, *[(F.col(f"_o_{c}") + F.sum(c).over(wi)).alias(f"cum_{c}") for c in cols])
+    dealt = cut_lineage(d.repartitionByRange(*by, o).withColumn("_part", F.spark_partition_id()))
+    total = dealt.groupBy(*by, "_part").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    total = total.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_part").alias("_at"), *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0.0)).alias(f"_o_{c}") for c in cols])
+    same = F.col("_part") == F.col("_at")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    within = Window.partitionBy(*by, "_part").orderBy(o).rowsBetween(Window.unboundedPreceding, 0)
+    return dealt.join(total, same).select(*d.columns, *[(F.col(f"_o_{c}") + F.sum(c).over(within)).alias(f"cum_{c}") for c in cols])
 
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:

@@ -57,3 +57,18 @@ def test_imbalanced_report_formulas(spark):
     assert r["1"]["geo"] == pytest.approx((rec * spe) ** 0.5)
     assert r["1"]["iba"] == pytest.approx((1 + 0.1 * (rec - spe)) * rec * spe)
     assert r["avg / total"]["sup"] == 10
+
+
+def test_ranking_of_all_distinct_scores(spark):
+    """Running totals over range partitions, with groups, against a plain count."""
+    import numpy as np
+    rng = np.random.default_rng(4)
+    s, y, g = rng.normal(size=4000), (rng.random(4000) < 0.3).astype(int), rng.integers(0, 3, 4000)
+    df = spark.createDataFrame([(float(a), int(b), int(c) if c else None) for a, b, c in zip(s, y, g)], "score double, label int, model int").repartition(5)
+    for r in metrics.roc_auc(df, by=["model"]).collect():
+        m = g == (r.model or 0)
+        pos, neg = s[m & (y == 1)], np.sort(s[m & (y == 0)])
+        assert r.auc == pytest.approx(np.searchsorted(neg, pos).sum() / (len(pos) * len(neg)), abs=1e-12)
+    order = np.argsort(-s)
+    curve = metrics.roc_curve(df).orderBy(F.col("threshold").desc()).collect()
+    assert [r.tp for r in curve] == np.cumsum(y[order]).tolist() and [r.fp for r in curve] == np.cumsum(1 - y[order]).tolist()
