@@ -8,7 +8,8 @@ group's cut falls, and a rank of the keys of those bins alone (1 row in 65,536).
 as one (hash, key) pair for each group, and the rows are kept by a comparison: no
 column but the key is ever shuffled.
 
-Folds and over-sampling need every row's rank (``hash_rank``): the histogram's running totals are
+Folds are equal parts of the hash order (``hash_pieces``), of which only the first rows are looked for; over-sampling draws
+copies in place.  ``hash_rank`` gives every row's rank where that is asked for: the histogram's running totals are
 joined back (one row per group and bin) and ``row_number`` runs within (group, bin).
 """
 from __future__ import annotations
@@ -95,6 +96,30 @@ def hash_cut(df: DataFrame, key: str, seed, take, by=None, salt: str = "", salt_
     return j.withColumn(out, kept).drop("_h", "_bin", "_cut")
 
 
+def hash_pieces(df: DataFrame, key: str, seed, pieces: int, by=None, salt: str = "", out: str = "fold") -> DataFrame:
+    """Adds the number of the piece, 0 to ``pieces`` - 1, of the group's rows in (hash, key) order; pieces are equal but for one
+    row: a row of rank r among n is in piece ``r * pieces div n``.
+
+    As in ``hash_cut`` only the rows at which pieces begin are looked for: keys of a few bins are shuffled, rows are not.
+    """
+    keys = _keys(by)
+    d = _binned(df, key, seed, salt, None)
+    bins = cut_lineage(_bin_offsets(d, keys))
+    # the first rank of piece p is ceil(p n / pieces); of pieces that would begin at one row the last does
+    first = F.transform(F.sequence(F.lit(0), F.lit(pieces - 1)), lambda p: F.struct(F.floor((p * F.col("_n") + (pieces - 1)) / F.lit(pieces)).alias("_first"), p.alias("_p")))
+    edges = bins.select(*keys, "_bin", "_off", "_c", F.inline(first))
+    edges = edges.where((F.col("_off") <= F.col("_first")) & (F.col("_first") < F.col("_off") + F.col("_c")))
+    edges = cut_lineage(edges.groupBy(*keys, "_bin", (F.col("_first") - F.col("_off") + 1).cast("int").alias("_at")).agg(F.max("_p").alias("_p")))
+    inside = d.select(*keys, "_bin", "_h", F.col(key).alias("_key")).join(_sized(edges.select(*keys, "_bin").distinct()), keys + ["_bin"])
+    order = Window.partitionBy(*keys, "_bin").orderBy("_h", "_key")
+    starts = inside.withColumn("_at", F.row_number().over(order)).join(_sized(edges), keys + ["_bin", "_at"])
+    starts = cut_lineage(starts.groupBy(*keys).agg(F.collect_list(F.struct("_h", "_key", "_p")).alias("_starts")))   # ``pieces`` at most in each group
+    joined = d.join(_sized(starts, 64 + 32 * pieces), keys, "left") if keys else d.crossJoin(F.broadcast(starts))   # one row without groups
+    here = F.struct("_h", F.col(key).alias("_key"))
+    begun = F.transform(F.filter("_starts", lambda s: F.struct(s["_h"].alias("_h"), s["_key"].alias("_key")) <= here), lambda s: s["_p"])
+    return joined.withColumn(out, F.coalesce(F.array_max(begun), F.lit(0)).cast("int")).drop("_h", "_bin", "_starts")
+
+
 def hash_sample(df: DataFrame, key: str, fraction: float, seed=111) -> DataFrame:
     """Rows whose hash falls below ``fraction``: a narrow filter, no shuffle."""
     return df.filter(hash_u32(key, seed) < F.lit(int(fraction * TWO_32)))
@@ -127,15 +152,13 @@ def stratified_shuffle_split(df: DataFrame, key: str, label: str, n_splits: int
 
 
 def kfold_assign(df: DataFrame, key: str, k: int = 3, seed=111, out: str = "fold") -> DataFrame:
-    """Disjoint folds of equal size (+-1): fold = rank mod k."""
-    r = hash_rank(df, key, seed, salt="kfold")
-    return r.withColumn(out, (F.col("_rank") % k).cast("int")).drop("_h", "_rank")
+    """Disjoint folds of equal size (+-1): the k-th part of the rows in hash order.  No row is moved."""
+    return hash_pieces(df, key, seed, k, salt="kfold", out=out)
 
 
 def stratified_kfold(df: DataFrame, key: str, label: str, k: int = 5, seed=111, out: str = "fold") -> DataFrame:
-    """Disjoint folds, each class spread evenly: fold = rank within class mod k."""
-    r = hash_rank(df, key, seed, by=label, salt="skfold")
-    return r.withColumn(out, (F.col("_rank") % k).cast("int")).drop("_h", "_rank")
+    """Disjoint folds, each class spread evenly: the k-th part of each class in hash order.  No row is moved."""
+    return hash_pieces(df, key, seed, k, by=label, salt="skfold", out=out)
 
 
 def under_sample(df: DataFrame, key: str, label: str, seed=111) -> DataFrame:
@@ -144,15 +167,13 @@ def under_sample(df: DataFrame, key: str, label: str, seed=111) -> DataFrame:
 
 
 def over_sample(df: DataFrame, key: str, label: str, seed=111, minority=None) -> DataFrame:
-    """Binary random over-sampling with replacement: all rows plus
-    (n_major - n_minor) draws of minority rows.  Draw i takes the minority row of
-    rank ``hash(i) mod n_minor`` (60-bit hash: every row can be drawn, and the bias is below
-    n_minor / 2^60); the draws are indexed by the majority rows beyond
-    rank n_minor, so no driver-side range is needed.  ``draw`` is NULL for the
-    original rows.
+    """Binary random over-sampling with replacement: all rows plus (n_major - n_minor) draws of minority rows.
 
-    Skew: each minority row is one join key, drawn n_major/n_minor times on average.  The
-    minority is broadcast only if its estimated bytes are within ``BROADCAST_BYTES``.
+    Each minority row draws a Poisson number of copies from its key hash, n_draws / n_minor on average; as many Poisson counts of a
+    given total are a uniform draw with replacement, only the total has to be made exact: missing draws go to the first rows in
+    a hash order, surplus ones are taken from the draws that come first in a hash order (about the square root of n_draws either way).
+    Copies are made in place: no row is shuffled or looked up.  ``draw`` numbers a row's copies from 0 and is NULL for the
+    original rows.
     """
     counts = {r[0]: r[1] for r in df.groupBy(label).count().limit(3).collect()}
     if len(counts) != 2:
@@ -160,17 +181,39 @@ def over_sample(df: DataFrame, key: str, label: str, seed=111, minority=None) ->
     if minority is None:
         minority = min(counts, key=lambda c: (counts[c], c))
     n_minor = counts[minority]
-    r = hash_rank(df, key, seed, by=label, salt="ros", with_counts=True)
-    lab = F.col(label)
-    minor = r.filter(lab == F.lit(minority))
-    need = (r.filter((lab != F.lit(minority)) & (F.col("_rank") >= F.col("_nmin")))
-              .select((F.col("_rank") - F.col("_nmin")).alias("draw"), F.col("_nmin").alias("_m")))
-    need = need.withColumn("_pick", F.pmod(hash_u60(F.col("draw"), seed, "draw"), F.col("_m")))
-    if n_minor * 16 * len(df.columns) <= BROADCAST_BYTES:
-        minor = F.broadcast(minor)
-    copies = need.join(minor, minor["_rank"] == need["_pick"]).select(*df.columns, "draw")
+    n_draws = sum(counts.values()) - 2 * n_minor
     base = df.withColumn("draw", F.lit(None).cast("long"))
-    return base.unionByName(copies)
+    if n_draws <= 0:
+        return base
+    minor = df.filter(F.col(label) == F.lit(minority)).withColumn("_k", _poisson_draws(key, seed, n_draws / n_minor))
+    drawn = minor.agg(F.sum("_k")).first()[0] or 0
+    if drawn < n_draws:   # less than one a row: the deficit is far below n_minor, or every row gets some whole draws first
+        whole, rest = divmod(n_draws - drawn, n_minor)
+        minor = hash_cut(minor, key, seed, lambda n, _: F.lit(rest), salt="ros-more", out="_more")
+        minor = minor.withColumn("_k", F.col("_k") + F.lit(whole) + F.col("_more").cast("int")).drop("_more")
+    numbered = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_k").cast("long") - 1))
+    copies = minor.filter(F.col("_k") > 0).withColumn("draw", numbered).drop("_k")
+    if drawn > n_draws:
+        named = copies.withColumn("_draw", F.concat_ws(":", F.col(key).cast("string"), F.col("draw").cast("string")))
+        copies = hash_cut(named, "_draw", seed, lambda n, _: F.lit(drawn - n_draws), salt="ros-less", out="_less").filter(~F.col("_less")).drop("_less", "_draw")
+    return base.unionByName(copies.select(*base.columns))
+
+
+#: Poisson draws of more than this on average are sums of several.
+MOST_RATE = 16.0
+
+
+def _rate_parts(rate: float) -> list[float]:
+    n = max(1, math.ceil(rate / MOST_RATE))
+    return [rate / n] * n
+
+
+def _poisson_draws(key: str, seed, rate: float):
+    """Poisson number with mean ``rate`` from the key hash."""
+    # the draws are made by the array, so that the hash is not repeated for every threshold
+    parts = _rate_parts(rate)
+    draws = F.transform(F.sequence(F.lit(0), F.lit(len(parts) - 1)), lambda i: hash_u32(key, seed, "ros", i) / F.lit(TWO_32))
+    return F.aggregate(draws, F.lit(0), lambda a, u: a + poisson_weight(u, parts[0]).cast("int"))
 
 
 def poisson_cdf(lam: float) -> list[float]:

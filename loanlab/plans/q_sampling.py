@@ -44,7 +44,7 @@ def q_stratified_shuffle_split(spark, sf):
 
 
 @register("kfold_assign", loans_sql(body=(
-    f"SELECT loan_id, CAST((ROW_NUMBER() OVER (ORDER BY {sql_hash_u32('loan_id', SEED, 'kfold')}, loan_id) - 1) % 3 AS INTEGER) "
+    f"SELECT loan_id, CAST((ROW_NUMBER() OVER (ORDER BY {sql_hash_u32('loan_id', SEED, 'kfold')}, loan_id) - 1) * 3 // COUNT(*) OVER () AS INTEGER) "
     "AS fold FROM loans")))
 def q_kfold_assign(spark, sf):
     return sampling.kfold_assign(loans(spark, sf).select("loan_id"), "loan_id", 3, SEED)
@@ -52,7 +52,7 @@ def q_kfold_assign(spark, sf):
 
 @register("stratified_kfold", purchases_sql(body=(
     "SELECT event_id, label, CAST((ROW_NUMBER() OVER (PARTITION BY label ORDER BY "
-    f"{sql_hash_u32('event_id', SEED, 'skfold')}, event_id) - 1) % 5 AS INTEGER) AS fold FROM purchases")))
+    f"{sql_hash_u32('event_id', SEED, 'skfold')}, event_id) - 1) * 5 // COUNT(*) OVER (PARTITION BY label) AS INTEGER) AS fold FROM purchases")))
 def q_stratified_kfold(spark, sf):
     return sampling.stratified_kfold(purchases(spark, sf).select("event_id", "label"), "event_id", "label", 5, SEED)
 
@@ -66,14 +66,22 @@ def q_under_sample(spark, sf):
 
 
 def _over_sql():
-    rk = (f"ROW_NUMBER() OVER (PARTITION BY label ORDER BY {sql_hash_u32('event_id', SEED, 'ros')}, event_id) - 1")
+    """Poisson draws a minority row; the deficit to the first rows, or the surplus from the first draws, in hash order.
+    The Poisson cumulative is summed in SQL."""
+    cdf = "list_transform(range(0, 60), lambda k: list_sum(list_transform(range(0, k + 1), lambda j: exp(j * ln(rate) - rate - lgamma(j + 1)))))"
     return purchases_sql(
-        f"r AS (SELECT event_id, label, {rk} AS rn FROM purchases)",
-        "m AS (SELECT COUNT(*) AS nmin FROM purchases WHERE label = 1)",
-        f"d AS (SELECT rn - nmin AS draw, nmin FROM r, m WHERE label <> 1 AND rn >= nmin)",
-        f"p AS (SELECT draw, {sql_hash_u32('draw', SEED, 'draw', digits=15)} % nmin AS pick FROM d)",
+        "m AS (SELECT COUNT(*) FILTER (WHERE label = 1) AS nmin, COUNT(*) FILTER (WHERE label = 0) - COUNT(*) FILTER (WHERE label = 1) AS nd FROM purchases)",
+        "c AS (SELECT nmin, nd, list_filter(" + cdf + ", lambda p: p < 1 - power(2, -40)) AS cdf FROM (SELECT nmin, nd, nd / CAST(nmin AS DOUBLE) AS rate FROM m))",
+        f"u AS (SELECT event_id, label, {sql_hash_u32('event_id', SEED, 'ros', '0')} / {TWO_32} AS u FROM purchases WHERE label = 1)",
+        "k AS (SELECT event_id, label, len(list_filter(cdf, lambda p: u >= p)) AS k FROM u, c)",
+        "s AS (SELECT SUM(k) AS drawn FROM k)",
+        f"a AS (SELECT event_id, label, k, ROW_NUMBER() OVER (ORDER BY {sql_hash_u32('event_id', SEED, 'ros-more')}, event_id) - 1 AS rn FROM k)",
+        "b AS (SELECT event_id, label, k + greatest(nd - drawn, 0) // nmin + CASE WHEN rn < greatest(nd - drawn, 0) % nmin THEN 1 ELSE 0 END AS k FROM a, m, s)",
+        "x AS (SELECT event_id, label, unnest(range(0, CAST(k AS BIGINT))) AS draw FROM b)",
+        "n AS (SELECT *, event_id || ':' || draw AS name FROM x)",
+        f"o AS (SELECT event_id, label, draw, ROW_NUMBER() OVER (ORDER BY {sql_hash_u32('name', SEED, 'ros-less')}, name) - 1 AS rn FROM n)",
         body=("SELECT event_id, label, CAST(NULL AS BIGINT) AS draw FROM purchases UNION ALL "
-              "SELECT r.event_id, r.label, p.draw FROM r JOIN p ON r.rn = p.pick WHERE r.label = 1"))
+              "SELECT event_id, label, draw FROM o, m, s WHERE rn >= greatest(drawn - nd, 0)"))
 
 
 @register("over_sample", _over_sql())
@@ -112,7 +120,7 @@ def _fold_sql():
         parts.append(f"SELECT '{name}' AS model, fold, SUM(CASE WHEN score > {thr} AND label = 1 THEN 1 ELSE 0 END) / "
                      "SUM(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS score FROM f GROUP BY fold")
     return scored_sql(
-        f"f AS (SELECT *, CAST((ROW_NUMBER() OVER (ORDER BY {sql_hash_u32('loan_id', SEED, 'kfold')}, loan_id) - 1) % 5 AS INTEGER) AS fold FROM scored)",
+        f"f AS (SELECT *, CAST((ROW_NUMBER() OVER (ORDER BY {sql_hash_u32('loan_id', SEED, 'kfold')}, loan_id) - 1) * 5 // COUNT(*) OVER () AS INTEGER) AS fold FROM scored)",
         f"fs AS ({' UNION ALL '.join(parts)})",
         body=("SELECT model, ROUND(AVG(score), 6) AS mean_score, ROUND(STDDEV_POP(score), 6) AS std_score, COUNT(*) AS n_folds, "
               "CAST(arg_max(fold, score * 1000 - fold) AS INTEGER) AS best_fold, ROUND(MAX(score), 6) AS best_score FROM fs GROUP BY model"))

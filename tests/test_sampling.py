@@ -112,10 +112,42 @@ def test_hash_cut_of_nothing(events):
     assert sampling.under_sample(events.limit(0), "event_id", "label").count() == 0
 
 
-def test_under_sample_moves_no_feature(events):
+@pytest.mark.parametrize("sampler", [lambda d: sampling.under_sample(d, "event_id", "label"), lambda d: sampling.over_sample(d, "event_id", "label"),
+                                     lambda d: sampling.kfold_assign(d, "event_id", 3), lambda d: sampling.stratified_kfold(d, "event_id", "label", 4)])
+def test_samplers_move_no_feature(events, sampler):
     wide = events.withColumn("feature", F.col("event_id") * 2.0)
-    plan = sampling.under_sample(wide, "event_id", "label")._jdf.queryExecution().executedPlan().toString()
-    assert not any("Exchange" in line and "feature" in line for line in plan.splitlines())
+    plan = sampler(wide)._jdf.queryExecution().executedPlan().toString()
+    assert not any("Exchange" in line and "feature" in line and "Broadcast" not in line for line in plan.splitlines())
+    assert "feature" in plan
+
+
+@pytest.mark.parametrize("n, k", [(1, 5), (2, 5), (7, 3), (100, 7), (3000, 4)])
+def test_pieces_equal_ranks(events, n, k):
+    some = events.orderBy("event_id").limit(n)
+    for by in (None, "label"):
+        got = sampling.hash_pieces(some, "event_id", 8, k, by=by, salt="p")
+        w = Window.partitionBy(*([by] if by else [F.lit(1)]))
+        want = some.withColumn("h", hash_u32("event_id", 8, "p")).withColumn("r", F.row_number().over(w.orderBy("h", "event_id")) - 1) \
+            .withColumn("fold", F.floor(F.col("r") * k / F.count("*").over(w)).cast("int"))
+        assert _set(got, "event_id", "fold") == _set(want, "event_id", "fold")
+
+
+def test_over_sample_draws_like_with_replacement(spark):
+    df = spark.range(2200).select("id", (F.col("id") < 200).cast("int").alias("y"))
+    for seed in (1, 2, 3, 4):   # surplus and deficit both occur
+        o = sampling.over_sample(df, "id", "y", seed)
+        draws = [r["count"] for r in o.filter("draw IS NOT NULL").groupBy("id").count().collect()]
+        assert sum(draws) == 1800 and o.filter("draw IS NOT NULL AND y = 0").count() == 0
+        spread = sum((d - 9) ** 2 for d in draws) / 200
+        assert 6 < spread < 13   # a draw with replacement has 9 (1 - 1/200)
+    even = sampling.over_sample(df.filter("id < 400"), "id", "y", 1)
+    assert even.count() == 400
+
+
+def test_over_sample_of_a_rare_class(spark):
+    df = spark.range(3000).select("id", (F.col("id") < 20).cast("int").alias("y"))   # 148 draws a row: sums of several Poisson numbers
+    o = sampling.over_sample(df, "id", "y")
+    assert o.filter("y = 1").count() == 2980
 
 
 @pytest.mark.parametrize("rate", [0.5, 1.0, 300.0, 800.0])
