@@ -20,7 +20,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
-    DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier,
+    DecisionTreeClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier,
     NaiveBayes, RandomForestClassifier,
 )
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanlab.operators import encode, sampling
+from loanlab.operators.histtree import HistBoost
 from loanlab.operators.sgd import LinearSGD
 from loanlab.session import right_size
 
@@ -66,13 +67,13 @@ def estimator(kind: str, seed: int = SEED, **kw):
         return LinearSGD(loss="hinge" if kind == "sgd_hinge" else "modified_huber", seed=seed,
                          max_iter=kw.get("max_iter", 1000))
     if kind == "gbt":
-        return GBTClassifier(maxIter=kw.get("rounds", 100), stepSize=kw.get("lr", 0.1),
-                             maxDepth=kw.get("max_depth", 5), maxBins=kw.get("max_bins", 255), seed=seed)
+        # 31 leaves, best leaf first; stops early on large inputs
+        return HistBoost(rounds=kw.get("rounds", 100), rate=kw.get("lr", 0.1), max_depth=kw.get("max_depth"), l2=kw.get("l2", 0.0), max_bins=kw.get("max_bins", 255),
+                         early_stopping=kw.get("early_stopping", "auto"), seed=seed)
     if kind == "gbt_leafy":
-        # the LightGBM-like variant: at least 20 rows per leaf, row subsampling option
-        return GBTClassifier(maxIter=kw.get("rounds", 100), stepSize=kw.get("lr", 0.1),
-                             maxDepth=kw.get("max_depth", 5), maxBins=kw.get("max_bins", 255),
-                             minInstancesPerNode=20, subsamplingRate=kw.get("subsample", 1.0), seed=seed)
+        # L1 and L2 on the leaves, all rounds, and the modes of that library
+        return HistBoost(rounds=kw.get("rounds", 100), rate=kw.get("lr", 0.1), max_depth=kw.get("max_depth"), l1=kw.get("l1", 1.0), l2=kw.get("l2", 1.0), mode=kw.get("mode", "gbdt"),
+                         max_bins=kw.get("max_bins", 255), early_stopping=False, seed=seed)
     if kind == "random_forest":
         return RandomForestClassifier(numTrees=kw.get("trees", 100), featureSubsetStrategy=kw.get("features", "sqrt"),
                                       maxDepth=kw.get("max_depth", MAX_TREE_DEPTH), bootstrap=True, seed=seed,
@@ -132,10 +133,12 @@ class ResampledPipeline:
         prepared = _sample(prepared, self.sampler, self.key, self.label, self.seed)
         if isinstance(self.est, LinearSGD):
             return PipelineModel([scaler, self.est.fit(prepared, in_cols, self.label, self.key)])
+        if isinstance(self.est, HistBoost):
+            return PipelineModel([scaler, assembler, self.est.fit(prepared, in_cols, self.label, self.key)])
         # iterative solvers read the training rows many times: materialise once,
         # in as many partitions as the size calls for
         prepared = assembler.transform(prepared).select(self.key, self.label, "features")
-        if isinstance(self.est, (DecisionTreeClassifier, RandomForestClassifier, GBTClassifier)):
+        if isinstance(self.est, (DecisionTreeClassifier, RandomForestClassifier)):
             prepared = prepared.persist()     # compute-bound: keep every partition busy
         else:
             prepared = right_size(prepared, 8 * (len(in_cols) + 3))   # latency-bound iterations

@@ -3,6 +3,8 @@ chained imputation (SURVEY 2.3 E4, 2.8 - 2.12).  Fitting is not SQL; the registe
 queries return what SQL can compute of a fit (see ``_facts_sql``), the tests gate the rest."""
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from loanlab.functions.columns import sql_hash_u32
@@ -153,12 +155,37 @@ from loanlab.operators import ensembles, explain, selection  # noqa: E402
 from loanlab.plans.flows import MODEL_NUMERIC  # noqa: E402
 
 
-@register("oob_score")
+_OOB_TREES = 100
+
+
+def _oob_sql(trees: int = _OOB_TREES) -> str:
+    """Draws of the forest from the key hash: the k-th number of a Lehmer stream seeded by it, Poisson(1) weights."""
+    weight = " + ".join(f"CAST(u >= CEIL({2**31 - 1} * {c}) AS INTEGER)" for c in _poisson_sql())
+    text = loans_sql(
+        f"tr AS (SELECT loan_id, y_signal AS label FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY {sql_hash_u32('loan_id', 111, 'split')}, loan_id) - 1 AS rn, COUNT(*) OVER () AS n FROM loans) WHERE rn < FLOOR(n * 0.75))",
+        f"ds AS (SELECT loan_id, label, {sql_hash_u32('loan_id', 111, 'forest')} % {2**31 - 2} + 1 AS s FROM tr)",
+        f"st(t, m) AS (SELECT 1, CAST(48271 AS BIGINT) UNION ALL SELECT t + 1, m * 48271 % {2**31 - 1} FROM st WHERE t < {trees})",
+        f"dr AS (SELECT loan_id, label, CAST(s AS BIGINT) * m % {2**31 - 1} AS u FROM ds, st)",
+        f"wt AS (SELECT loan_id, label, {weight} AS w FROM dr)",
+        body=f"SELECT CAST({trees} AS INTEGER) AS n_trees, COUNT(DISTINCT CASE WHEN w = 0 THEN loan_id END) AS oob_rows, CAST(SUM(CASE WHEN w = 0 THEN 1 ELSE 0 END) AS BIGINT) AS oob_votes, "
+             "CAST(SUM(CASE WHEN label = 0 THEN w ELSE 0 END) AS BIGINT) AS in_bag_0, CAST(SUM(CASE WHEN label = 1 THEN w ELSE 0 END) AS BIGINT) AS in_bag_1, TRUE AS beats_majority FROM wt")
+    return text.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _poisson_sql(terms: int = 20) -> list[str]:
+    """Cumulative Poisson(1) probabilities as SQL: e^-1 times the partial sums of 1 / k!."""
+    return [f"(EXP(-1.0) * ({' + '.join(f'1.0 / {math.factorial(k)}' for k in range(n + 1))}))" for n in range(terms)]
+
+
+@register("oob_score", _oob_sql())
 def q_oob_score(spark, sf):
     df, feats = model_table(spark, sf)
     train, _ = split_parts(df)
-    _, res = ensembles.oob_forest(train, feats, n_trees=100)
-    return res
+    _, got = ensembles.oob_forest(train, feats, n_trees=_OOB_TREES)
+    share = train.agg(F.avg("label")).first()[0]
+    better = got["oob_right"] / got["oob_rows"] > max(share, 1 - share)
+    return spark.createDataFrame([(_OOB_TREES, *[got[c] for c in ("oob_rows", "oob_votes", "in_bag_0", "in_bag_1")], better)],
+                                 "n_trees int, oob_rows long, oob_votes long, in_bag_0 long, in_bag_1 long, beats_majority boolean")
 
 
 # fixed values: the base models, in their recorded order
@@ -181,15 +208,15 @@ def q_balanced_bagging(spark, sf):
     df, feats = model_table(spark, sf)
     train, test = split_parts(df)
     m = ensembles.balanced_bagging(train, feats, n_estimators=10)
-    return _facts(m.transform(test).withColumn("model", F.lit("BalancedBagging")))
+    return _report(spark, "BalancedBagging", m, test)
 
 
 @register("balanced_random_forest", _facts_sql("BalancedRF"))
 def q_balanced_random_forest(spark, sf):
     df, feats = model_table(spark, sf)
     train, test = split_parts(df)
-    m = ensembles.balanced_random_forest(train, feats, n_trees=100, n_bags=10)
-    return _facts(m.transform(test).withColumn("model", F.lit("BalancedRF")))
+    m = ensembles.balanced_random_forest(train, feats, n_trees=100)
+    return _report(spark, "BalancedRF", m, test)
 
 
 @register("easy_ensemble", _facts_sql("EasyEnsemble"))

@@ -31,7 +31,7 @@ def stopped(query):
 
 
 def sizes(made):
-    return [e.getNumTrees() if k == "random_forest" else e.getMaxIter() for k, e in made if k in ("random_forest", "gbt")]
+    return [e.getNumTrees() if k == "random_forest" else e.spec["rounds"] for k, e in made if k in ("random_forest", "gbt")]
 
 
 @pytest.mark.parametrize("query", [q_ml.forest_report, q_ml.q_tree_nodes])
@@ -61,5 +61,8 @@ def test_feature_sets(made, monkeypatch):
 
 
 def test_oob(made, monkeypatch):
-    monkeypatch.setattr(ensembles, "oob_forest", lambda train, feats, n_trees: (None, n_trees))
-    assert q_ml.q_oob_score(None, None) == 100
+    def grown(train, feats, n_trees):
+        assert n_trees == 100
+        raise Stop
+    monkeypatch.setattr(ensembles, "oob_forest", grown)
+    stopped(q_ml.q_oob_score)
