@@ -108,7 +108,7 @@ def _summed(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _cells(block: dict, level: Level, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(cell, rows of class 0, of class 1) by weight; a cell is (open node, place among its features, bin)."""
+    """(cell, rows, rows of class 1) by weight; a cell is (open node, place among its features, bin)."""
     held = []
     looked = level.features.shape[1]
     for lo in range(0, len(block["label"]), ROWS_AT_ONCE):
@@ -122,39 +122,37 @@ def _cells(block: dict, level: Level, width: int) -> tuple[np.ndarray, np.ndarra
         key = ((slot[:, None] * looked + np.arange(looked)) * width + bins[row[:, None], np.maximum(f, 0)])[f >= 0]
         many = (f >= 0).sum(axis=1)
         held.append(_summed(key, np.repeat(w, many), np.repeat(one, many)))
-    cell, w, one = _summed(*[np.concatenate(x) for x in zip(*held)]) if held else (np.zeros(0, np.int64),) * 3
-    return cell, w - one, one
+    return _summed(*[np.concatenate(x) for x in zip(*held)]) if held else (np.zeros(0, np.int64),) * 3
 
 
-def _best(cell: np.ndarray, zero: np.ndarray, one: np.ndarray, looked: int, width: int) -> tuple[np.ndarray, ...]:
-    """Per node of the cells: (slot, gain, place of the feature, bin, left 0, left 1, all 0, all 1); gain -1 if no split.
+def _best(cell: np.ndarray, rows: np.ndarray, total: np.ndarray, looked: int, width: int) -> tuple[np.ndarray, ...]:
+    """Per node of the cells: (slot, gain, place of the feature, bin, rows and sum on the left, rows and sum of the node);
+    gain -1 if no split.
 
-    The gain is the fall of the summed Gini impurity; ties go to the feature looked at first, then the lowest bin."""
-    cell, zero, one = _summed(cell, zero, one)
+    The gain is the fall of the squared error of the mean (for a 0/1 target half that of the summed Gini impurity); ties go to the
+    feature looked at first, then the lowest bin."""
+    cell, rows, total = _summed(cell, rows, total)
     group = cell // width                       # (slot, place)
     head = np.nonzero(np.concatenate([[True], group[1:] != group[:-1]]))[0]
     size = np.diff(head, append=len(cell))
-    run0, run1 = np.cumsum(zero), np.cumsum(one)
-    base0, base1 = np.repeat(run0[head] - zero[head], size), np.repeat(run1[head] - one[head], size)
-    l0, l1 = run0 - base0, run1 - base1
-    t0, t1 = (np.repeat(x[head + size - 1], size) for x in (l0, l1))
-    r0, r1 = t0 - l0, t1 - l1
+    run_n, run_s = np.cumsum(rows), np.cumsum(total)
+    ln, ls = run_n - np.repeat(run_n[head] - rows[head], size), run_s - np.repeat(run_s[head] - total[head], size)
+    tn, ts = (np.repeat(x[head + size - 1], size) for x in (ln, ls))
     last = np.zeros(len(cell), bool)
     last[head + size - 1] = True
-    pure = lambda a, b: np.divide(a * a + b * b, a + b, out=np.zeros(len(a)), where=(a + b) > 0)
-    gain = np.where(last, -1.0, pure(l0.astype(float), l1.astype(float)) + pure(r0.astype(float), r1.astype(float)) - pure(t0.astype(float), t1.astype(float)))
-    gain = np.where(gain > 1e-9, gain, -1.0)
+    square = lambda s, n: np.divide(s.astype(float) ** 2, n, out=np.zeros(len(n)), where=n > 0)
+    whole = square(ts, tn)
+    gain = np.where(last, -1.0, square(ls, ln) + square(ts - ls, tn - ln) - whole)
+    gain = np.where(gain > 1e-9 * (1 + whole), gain, -1.0)
     slot = group // looked
     first = np.nonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))[0]
     top = np.maximum.reduceat(gain, first)
-    each = np.repeat(top, np.diff(first, append=len(cell)))
-    at = np.nonzero(gain == each)[0]
+    at = np.nonzero(gain == np.repeat(top, np.diff(first, append=len(cell))))[0]
     at = at[np.unique(slot[at], return_index=True)[1]]   # the first of the best
-    place = (group[at] % looked).astype(np.int64)
-    return slot[first], top, place, cell[at] % width, l0[at], l1[at], t0[at], t1[at]
+    return slot[first], top, group[at] % looked, cell[at] % width, ln[at], ls[at], tn[at], ts[at]
 
 
-_BEST = "slot long, gain double, place long, bin long, l0 long, l1 long, t0 long, t1 long"
+_BEST = "slot long, gain double, place long, bin long, ln long, ls long, tn long, ts long"
 _BEST_NAMES = [x.split()[0] for x in _BEST.split(", ")]
 
 
@@ -198,18 +196,18 @@ def _dealt(level: Level, trees: int, width: int, parts: int):
     def run(batches):
         span = -(-len(level.nodes) // parts) * level.features.shape[1] * width
         for row in _rows(batches):
-            cell, zero, one = _cells(_arrays(row, trees), level, width)
+            cell, n, s = _cells(_arrays(row, trees), level, width)
             ends = np.searchsorted(cell, np.arange(parts + 1) * span)
             full = [p for p in range(parts) if ends[p] < ends[p + 1]]
             cut = lambda x: pa.array([x[ends[p]:ends[p + 1]].tobytes() for p in full], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), cut(cell), cut(zero), cut(one)], names=["part", "cell", "zero", "one"])
+            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), cut(cell), cut(n), cut(s)], names=["part", "cell", "n", "s"])
     return run
 
 
 def _judged(looked: int, width: int):
     def run(t: pa.Table) -> pa.Table:
-        cell, zero, one = (np.concatenate([np.frombuffer(v, np.int64) for v in t.column(c).to_pylist()]) for c in ("cell", "zero", "one"))
-        return pa.table(dict(zip(_BEST_NAMES, _best(cell, zero, one, looked, width))))
+        cell, n, s = (np.concatenate([np.frombuffer(v, np.int64) for v in t.column(c).to_pylist()]) for c in ("cell", "n", "s"))
+        return pa.table(dict(zip(_BEST_NAMES, _best(cell, n, s, looked, width))))
     return run
 
 
@@ -254,8 +252,10 @@ class GrownForest:
         gain = np.where(self.left[o] >= 0, np.divide(self.gain[o], total, out=np.zeros(len(o)), where=total > 0), -1.0)
         return Tree(np.where(self.left[o] >= 0, self.feature[o], -1), self.bin[o], kids(0), kids(1), (stats[:, 1] > stats[:, 0]).astype(float), gain, total.astype(np.int64), stats)
 
-    def model(self, spark: SparkSession, n_features: int) -> RandomForestClassificationModel:
-        return _load(spark, [self.tree(t) for t in range(self.trees)], [1.0] * self.trees, self.cuts, n_features, False).setFeaturesCol("features")
+    def model(self, spark: SparkSession, n_features: int, first: int | None = None) -> RandomForestClassificationModel:
+        """All trees, or the ``first`` ones."""
+        n = self.trees if first is None else first
+        return _load(spark, [self.tree(t) for t in range(n)], [1.0] * n, self.cuts, n_features, False).setFeaturesCol("features")
 
 
 def _leaf_of(f: GrownForest, bins: np.ndarray, row: np.ndarray, tree: np.ndarray) -> np.ndarray:
@@ -322,7 +322,7 @@ def grow_forest(df: DataFrame, cols: Sequence[str], n_trees: int = 100, features
         seen = np.where(place < n_features, np.take_along_axis(order, np.minimum(place, n_features - 1), axis=1), -1)
         cells = min(len(nodes) * looked * width, int(rows * n_trees * looked))
         parts = int(min(len(nodes), max(1, -(-cells // CELLS))))
-        got = state.mapInArrow(_dealt(Level(nodes, seen), n_trees, width, parts), "part int, cell binary, zero binary, one binary").groupBy("part").applyInArrow(_judged(looked, width), _BEST).toArrow()
+        got = state.mapInArrow(_dealt(Level(nodes, seen), n_trees, width, parts), "part int, cell binary, n binary, s binary").groupBy("part").applyInArrow(_judged(looked, width), _BEST).toArrow()
         for s in old:
             s.unpersist()
         old = []
@@ -330,19 +330,20 @@ def grow_forest(df: DataFrame, cols: Sequence[str], n_trees: int = 100, features
         by = np.argsort(g["slot"])
         g = {c: v[by] for c, v in g.items()}
         slot, node = g["slot"], nodes[g["slot"]]
-        f.w0[node], f.w1[node] = g["t0"], g["t1"]
+        f.w0[node], f.w1[node] = g["tn"] - g["ts"], g["ts"]
         cut = g["gain"] > 0
         left = f.add(2 * int(cut.sum())) + 2 * np.arange(int(cut.sum()))
         parent, feature = node[cut], seen[slot[cut], g["place"][cut]]
-        f.feature[parent], f.bin[parent], f.left[parent], f.gain[parent] = feature, g["bin"][cut], left, g["gain"][cut]
-        l0, l1, t0, t1 = (g[c][cut] for c in ("l0", "l1", "t0", "t1"))
+        f.feature[parent], f.bin[parent], f.left[parent], f.gain[parent] = feature, g["bin"][cut], left, 2 * g["gain"][cut]
+        ln, ls, tn, ts = (g[c][cut] for c in ("ln", "ls", "tn", "ts"))
         kids = np.stack([left, left + 1], axis=1).ravel()
-        f.w0[kids], f.w1[kids] = np.stack([l0, t0 - l0], axis=1).ravel(), np.stack([l1, t1 - l1], axis=1).ravel()
+        ones = np.stack([ls, ts - ls], axis=1).ravel()
+        f.w0[kids], f.w1[kids] = np.stack([ln, tn - ln], axis=1).ravel() - ones, ones
         moves = (parent, feature, g["bin"][cut], left)
         # impure children go on; so do impure nodes that have features left to try
         deep = np.repeat(depth[slot[cut]] + 1, 2)
         on = (f.w0[kids] > 0) & (f.w1[kids] > 0) & (deep < max_depth)
-        again = ~cut & (g["t0"] > 0) & (g["t1"] > 0) & ((tries[slot] + 1) * looked < n_features)
+        again = ~cut & (g["ts"] > 0) & (g["ts"] < g["tn"]) & ((tries[slot] + 1) * looked < n_features)
         nodes, depth, tries = (np.concatenate(x) for x in ((node[again], kids[on]), (depth[slot[again]], deep[on]), (tries[slot[again]] + 1, np.zeros(int(on.sum()), np.int64))))
         order = np.concatenate([order[slot[again]], _order(kids[on], n_features, seed)])
         by = np.argsort(nodes)

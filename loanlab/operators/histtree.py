@@ -410,8 +410,8 @@ _NODE = ("treeID int, nodeData struct<id: int, prediction: double, impurity: dou
          "leftChild: int, rightChild: int, split: struct<featureIndex: int, leftCategoriesOrThreshold: array<double>, numCategories: int>>")
 
 
-def _metadata(kind: str, uid: str, spark: SparkSession, defaults: dict, **more) -> str:
-    return json.dumps({"class": kind, "timestamp": int(time.time() * 1000), "sparkVersion": spark.version, "uid": uid, "paramMap": {}, "defaultParamMap": defaults, **more})
+def _metadata(kind: str, uid: str, spark: SparkSession, defaults: dict, params: dict | None = None, **more) -> str:
+    return json.dumps({"class": kind, "timestamp": int(time.time() * 1000), "sparkVersion": spark.version, "uid": uid, "paramMap": params or {}, "defaultParamMap": defaults, **more})
 
 
 def _node_rows(trees: list[Tree], cuts: list[np.ndarray], class_stats: bool):
@@ -437,11 +437,11 @@ def _load(spark: SparkSession, trees: list[Tree], weights: list[float], cuts: li
                                                                                                              "maxIter": len(trees), "stepSize": 0.1, "subsamplingRate": 1.0, "validationTol": 0.01, **classes}
         more, tree_own = {}, {"impurity": "variance"}
     else:
-        kind, part, own = "classification.RandomForestClassificationModel", "classification.DecisionTreeClassificationModel", {"impurity": "gini", "bootstrap": True, "featureSubsetStrategy": "auto",
-                                                                                                                           "numTrees": len(trees), "subsamplingRate": 1.0, **classes}
+        kind, part, own = "classification.RandomForestClassificationModel", "classification.DecisionTreeClassificationModel", {"impurity": "gini", "bootstrap": True, "featureSubsetStrategy": "auto", "numTrees": 20,
+                                                                                                                           "subsamplingRate": 1.0, **classes}
         more, tree_own = {"numClasses": 2}, {"impurity": "gini", **classes}
     uid = f"histtree_{abs(hash(path)) % 16**12:012x}"
-    spark.createDataFrame([(_metadata(f"org.apache.spark.ml.{kind}", uid, spark, {**common, **own}, numFeatures=n_features, numTrees=len(trees), **more),)], "value string").coalesce(1).write.text(f"{path}/metadata")
+    spark.createDataFrame([(_metadata(f"org.apache.spark.ml.{kind}", uid, spark, {**common, **own}, {} if boosted else {"numTrees": len(trees)}, numFeatures=n_features, numTrees=len(trees), **more),)], "value string").coalesce(1).write.text(f"{path}/metadata")
     meta = [(i, _metadata(f"org.apache.spark.ml.{part}", f"{uid}_{i}", spark, {**common, **tree_own}, **({"numFeatures": n_features, **more})), float(w)) for i, w in enumerate(weights)]
     spark.createDataFrame(meta, "_1 int, _2 string, _3 double").write.parquet(f"{path}/treesMetadata")
     rows = _node_rows(trees, cuts, not boosted)

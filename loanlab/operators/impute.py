@@ -1,87 +1,258 @@
-"""Chained (iterative) imputation with a tree regressor per gappy column.
-
-Start from column means; then, round after round, each gappy column (fewest
-gaps first) is predicted from all the other columns by a single regression tree
-fitted on the rows where it is observed, and only its gaps are replaced.  Stops
-after ``max_rounds`` or when the largest change of an imputed cell is below
-``tol`` times the largest observed magnitude.  Every round ends with a reliable
-checkpoint into ``spark.checkpoint.dir`` so lineage stays short and a lost
-executor only recomputes one round.
-
-The fitted model keeps the means and every (round, column) tree, so new rows
-(the test part) are imputed with what was learnt on the training part only.
+"""Chained (iterative) imputation with a regression tree per gappy column.
+
+Start from column means; then, round after round, every gappy column is predicted from the other columns by one regression tree
+fitted on the rows where it is observed, and only its gaps are replaced.  The trees of a round see the values that the
+round before left, so they grow together: one job for each level serves all columns.  Stops after ``max_rounds`` or when the
+largest change of an imputed cell is below ``tol`` times the largest observed magnitude.
+
+A block carries its values, their bins (cut once, at most 255 a column) and which cells are gaps.  Tasks add rows and
+target values by (node, feature, bin) for the features that a node may look at, in whole units, so sums are exact; the cells are
+dealt out by node and only the best splits come back.  The blocks of a round replace those of the round before; every
+``CHECKPOINT_EVERY`` rounds they are checkpointed.
+
+The fitted model keeps the means and the trees of every round; ``transform`` plays all rounds on each row in one projection, so new
+rows (the test part) are imputed with what was learnt on the training part only.
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
+
+from loanlab.operators.forest import CELLS, ROWS_AT_ONCE, _BEST, _BEST_NAMES, _judged, _order, _rows, _summed
+from loanlab.operators.histtree import BLOCK_ROWS, WIDTH, binned, fit_cuts
+from loanlab.session import cut_lineage, ship
+
+UNIT = 1 << 28            # targets are whole multiples of their spread / UNIT: sums of 2^35 rows are exact
+CHECKPOINT_EVERY = 3      # rounds
+_STATE = "n long, x binary, gap binary, bins binary, change double"
+
+
+@dataclass
+class Round:
+    """The trees of one round in common arrays, tree t's root at t: feature (-1: leaf), last bin that goes left, left child (right is
+    next), value."""
+    feature: np.ndarray
+    bin: np.ndarray
+    left: np.ndarray
+    value: np.ndarray
+
+    def leaf(self, bins: np.ndarray, row: np.ndarray, tree: np.ndarray) -> np.ndarray:
+        at = tree.astype(np.int64)
+        todo = np.nonzero(self.left[at] >= 0)[0]
+        while len(todo):
+            v = at[todo]
+            at[todo] = self.left[v] + (bins[row[todo], self.feature[v]] > self.bin[v])
+            todo = todo[self.left[at[todo]] >= 0]
+        return at
+
+
+def _play(x: np.ndarray, gap: np.ndarray, bins: np.ndarray, r: Round, targets: np.ndarray, cuts: list) -> float:
+    """Replace the gaps by the trees' values (in place), all from the values before; the largest change."""
+    row, tree = np.nonzero(gap[:, targets])
+    if not len(row):
+        return 0.0
+    value, col = r.value[r.leaf(bins, row, tree)], targets[tree]
+    change = float(np.max(np.abs(value - x[row, col])))
+    x[row, col] = value
+    for t in np.unique(col):
+        mine = col == t
+        bins[row[mine], t] = binned(value[mine], cuts[t])
+    return change
+
+
+def _columns(b: pa.RecordBatch, at: Sequence[int]) -> np.ndarray:
+    return np.stack([b.column(i).to_numpy(zero_copy_only=False).astype(np.float64) for i in at], axis=1)
+
+
+def _filled(x: np.ndarray, means: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    gap = np.isnan(x)
+    return np.where(gap, means, x), gap
+
+
+def _packed(cuts: list, means: np.ndarray):
+    """Blocks of the first round: gaps hold the mean."""
+    def run(batches):
+        held, n = [], 0
+        for b in batches:
+            if b.num_rows:
+                held.append(_columns(b, range(len(cuts))))
+                n += b.num_rows
+            if n >= BLOCK_ROWS:
+                yield _block(*_filled(np.concatenate(held), means), cuts)
+                held, n = [], 0
+        if held:
+            yield _block(*_filled(np.concatenate(held), means), cuts)
+    return run
 
-from loanlab.session import cut_lineage
+
+def _block(x, gap, cuts, bins=None, change=0.0):
+    if bins is None:
+        bins = np.stack([binned(x[:, i], c) for i, c in enumerate(cuts)], axis=1)
+    return pa.RecordBatch.from_arrays([pa.array([len(x)], pa.int64()), *[pa.array([v.tobytes()], pa.binary()) for v in (x, gap, bins)], pa.array([change], pa.float64())], names=["n", "x", "gap", "bins", "change"])
+
+
+def _open(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = row["n"]
+    return (np.frombuffer(row["x"], np.float64).reshape(n, -1), np.frombuffer(row["gap"], bool).reshape(n, -1), np.frombuffer(row["bins"], np.uint8).reshape(n, -1))
+
+
+def _played(r: Round, targets: np.ndarray, cuts: list):
+    def run(batches):
+        for row in _rows(batches):
+            x, gap, bins = (v.copy() for v in _open(row))
+            change = _play(x, gap, bins, r, targets, cuts)
+            yield _block(x, gap, cuts, bins, change)
+    return run
+
+
+def _dealt(r: Round, nodes: np.ndarray, features: np.ndarray, targets: np.ndarray, means: np.ndarray, spread: np.ndarray, parts: int):
+    """Rows and summed targets by (open node, place among its features, bin), by ranges of open nodes."""
+    looked = features.shape[1]
+
+    def cells(x, gap, bins):
+        held = []
+        for lo in range(0, len(x), ROWS_AT_ONCE):
+            part = slice(lo, lo + ROWS_AT_ONCE)
+            row, tree = np.nonzero(~gap[part][:, targets])
+            at = r.leaf(bins[part], row, tree)
+            slot = np.minimum(np.searchsorted(nodes, at), len(nodes) - 1)
+            here = nodes[slot] == at
+            row, col, slot = row[here], targets[tree[here]], slot[here]
+            y = np.rint((x[part][row, col] - means[col]) / spread[col] * UNIT).astype(np.int64)
+            f = features[slot]
+            key = ((slot[:, None] * looked + np.arange(looked)) * WIDTH + bins[part][row[:, None], np.maximum(f, 0)])[f >= 0]
+            many = (f >= 0).sum(axis=1)
+            held.append(_summed(key, np.repeat(np.ones(len(row), np.int64), many), np.repeat(y, many)))
+        return _summed(*[np.concatenate(v) for v in zip(*held)]) if held else (np.zeros(0, np.int64),) * 3
+
+    def run(batches):
+        span = -(-len(nodes) // parts) * looked * WIDTH
+        for row in _rows(batches):
+            cell, n, s = cells(*_open(row))
+            ends = np.searchsorted(cell, np.arange(parts + 1) * span)
+            full = [p for p in range(parts) if ends[p] < ends[p + 1]]
+            cut = lambda v: pa.array([v[ends[p]:ends[p + 1]].tobytes() for p in full], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), cut(cell), cut(n), cut(s)], names=["part", "cell", "n", "s"])
+    return run
 
 
 class IterativeTreeImputerModel:
-    def __init__(self, cols, targets, means, steps, rounds_run, history):
+    """Means, cuts and the trees of every round."""
+
+    def __init__(self, cols, targets, means, cuts, rounds, history):
         self.cols, self.targets, self.means = list(cols), list(targets), dict(means)
-        self.steps, self.rounds_run, self.history = steps, rounds_run, history
-
-    @staticmethod
-    def _step(df: DataFrame, cols, c, model) -> DataFrame:
-        feats = [x for x in cols if x != c]
-        asm = VectorAssembler(inputCols=feats, outputCol="_feat", handleInvalid="keep")
-        m = model.copy()
-        m.setFeaturesCol("_feat").setPredictionCol("_pred")
-        out = m.transform(asm.transform(df))
-        return out.withColumn(c, F.when(F.col(f"_m_{c}") == 1, F.col("_pred")).otherwise(F.col(c))) \
-                  .drop("_feat", "_pred")
+        self.cuts, self.rounds, self.history = cuts, rounds, history
+        self.rounds_run = len(rounds)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        x = df.withColumns({f"_m_{c}": F.col(c).isNull().cast("int") for c in self.targets})
-        x = x.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(self.means.get(c))) for c in self.cols})
-        for i, (_, c, model) in enumerate(self.steps):
-            x = self._step(x, self.cols, c, model)
-            if (i + 1) % max(1, len(self.targets)) == 0:
-                x = cut_lineage(x)
-        return x.drop(*[f"_m_{c}" for c in self.targets])
+        """``df`` with the columns as doubles and their gaps filled; other columns stay.  A column without any value
+        when fitted keeps its gaps."""
+        cols, cuts, rounds = self.cols, self.cuts, self.rounds
+        means = np.array([np.nan if self.means[c] is None else self.means[c] for c in cols])
+        targets = np.array([cols.index(c) for c in self.targets], np.int64)
+        typed = df.withColumns({c: F.col(c).cast("double") for c in cols})
+        place = [typed.columns.index(c) for c in cols]
+
+        def run(batches):
+            for b in batches:
+                x, gap = _filled(_columns(b, place), means)
+                bins = np.stack([binned(x[:, i], c) for i, c in enumerate(cuts)], axis=1)
+                for r in rounds:
+                    _play(x, gap, bins, r, targets, cuts)
+                out = list(b.columns)
+                for i, p in enumerate(place):
+                    out[p] = pa.array(x[:, i], mask=np.isnan(x[:, i]))
+                yield pa.RecordBatch.from_arrays(out, names=b.schema.names)
+        ship(df.sparkSession)
+        schema = StructType([StructField(f.name, DoubleType() if f.name in cols else f.dataType, True) for f in typed.schema])
+        return typed.mapInArrow(run, schema)
 
 
 class IterativeTreeImputer:
-    def __init__(self, cols: Sequence[str], max_depth: int = 3, feature_subset: str = "sqrt", max_rounds: int = 10,
-                 tol: float = 1e-3, seed: int = 111):
-        self.cols, self.max_depth, self.feature_subset = list(cols), max_depth, feature_subset
+    """``feature_subset``: how many features a node looks at (sqrt, log2, all); ``max_depth`` None: until nothing is gained
+    (at most 30 levels)."""
+
+    def __init__(self, cols: Sequence[str], max_depth: int | None = 3, feature_subset: str = "sqrt", max_rounds: int = 10, tol: float = 1e-3, seed: int = 111):
+        self.cols, self.max_depth, self.feature_subset = list(cols), 30 if max_depth is None else max_depth, feature_subset
         self.max_rounds, self.tol, self.seed = max_rounds, tol, seed
 
     def fit(self, df: DataFrame) -> IterativeTreeImputerModel:
         cols = self.cols
-        one = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"a{i}") for i, c in enumerate(cols)],
-                     *[F.count_if(F.col(c).isNull()).alias(f"g{i}") for i, c in enumerate(cols)],
-                     F.greatest(*[F.max(F.abs(F.col(c).cast("double"))) for c in cols]).alias("scale")).collect()[0]
-        means = {c: one[f"a{i}"] for i, c in enumerate(cols)}
-        gaps = {c: one[f"g{i}"] for i, c in enumerate(cols)}
-        targets = sorted([c for c in cols if gaps[c] > 0], key=lambda c: (gaps[c], cols.index(c)))
-        scale = one["scale"] or 0.0
-        x = df.select(*cols).withColumns({f"_m_{c}": F.col(c).isNull().cast("int") for c in targets})
-        x = cut_lineage(x.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(means[c])) for c in cols}))
-        steps, history, rounds = [], [], 0
+        ship(df.sparkSession)
+        df = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c) for c in cols])
+        one = df.agg(*[F.struct(F.avg(c).alias("mean"), F.count_if(F.col(c).isNull()).alias("gaps"), F.min(c).alias("least"), F.max(c).alias("most")).alias(f"s{i}") for i, c in enumerate(cols)]).first()
+        means = {c: one[i].mean for i, c in enumerate(cols)}
+        targets = [c for i, c in enumerate(cols) if one[i].gaps and one[i].mean is not None]
+        scale = max([0.0, *[max(abs(s.least), abs(s.most)) for s in one if s.mean is not None]])
+        mean = np.array([np.nan if s.mean is None else s.mean for s in one])
+        spread = np.array([1.0 if s.mean is None else max(s.most - s.mean, s.mean - s.least, 1e-300) for s in one])
+        cuts = fit_cuts(df.fillna({c: m for c, m in means.items() if m is not None}), cols)
+        t = np.array([cols.index(c) for c in targets], np.int64)
+        state = df.mapInArrow(_packed(cuts, mean), _STATE).persist()
+        observed = state.agg(F.sum("n")).first()[0] or 0
+        rounds, history = [], []
         for r in range(self.max_rounds if targets else 0):
-            x = x.withColumns({f"_p_{c}": F.col(c) for c in targets})
-            for c in targets:
-                feats = [v for v in cols if v != c]
-                asm = VectorAssembler(inputCols=feats, outputCol="_feat", handleInvalid="keep")
-                rf = RandomForestRegressor(numTrees=1, bootstrap=False, featureSubsetStrategy=self.feature_subset,
-                                           maxDepth=self.max_depth, seed=self.seed + r, labelCol=c,
-                                           featuresCol="_feat", predictionCol="_pred")
-                model = rf.fit(asm.transform(x.filter(F.col(f"_m_{c}") == 0)))
-                steps.append((r, c, model))
-                x = IterativeTreeImputerModel._step(x, cols, c, model)
-            change = x.agg(F.greatest(*[F.max(F.abs(F.col(c) - F.col(f"_p_{c}"))) for c in targets]).alias("d")) \
-                      .collect()[0]["d"] or 0.0
-            x = cut_lineage(x.drop(*[f"_p_{c}" for c in targets]))
-            rounds = r + 1
+            got = self._trees(state, t, mean, spread, r, observed)
+            rounds.append(got)
+            old, state = state, state.mapInArrow(_played(got, t, cuts), _STATE)
+            state = cut_lineage(state) if (r + 1) % CHECKPOINT_EVERY == 0 else state.persist()
+            change = state.agg(F.max("change")).first()[0] or 0.0
+            old.unpersist()
             history.append((r, float(change)))
             if change < self.tol * scale:
                 break
-        return IterativeTreeImputerModel(cols, targets, means, steps, rounds, history)
+        state.unpersist()
+        return IterativeTreeImputerModel(cols, targets, means, cuts, rounds, history)
+
+    def _trees(self, state: DataFrame, t: np.ndarray, mean: np.ndarray, spread: np.ndarray, number: int, observed: int) -> Round:
+        """One tree for each target, grown level by level together."""
+        n_features = len(self.cols) - 1
+        looked = {"sqrt": math.isqrt(n_features), "log2": int(math.log2(max(1, n_features))), "all": n_features}[self.feature_subset]
+        looked = max(1, min(looked, n_features))
+        trees = len(t)
+        f = Round(np.full(trees, -1), np.zeros(trees, np.int64), np.full(trees, -1), mean[t].copy())
+
+        def others(nodes, tree):
+            """The features of each node in its own order, without its target."""
+            order = _order(nodes, n_features + 1, self.seed * 1000 + number)
+            return order[order != t[tree][:, None]].reshape(len(nodes), n_features)
+
+        nodes, tree, depth, tries = np.arange(trees), np.arange(trees), np.zeros(trees, np.int64), np.zeros(trees, np.int64)
+        order = others(nodes, tree) if n_features else np.zeros((trees, 0), np.int64)
+        while len(nodes) and n_features and self.max_depth:
+            place = tries[:, None] * looked + np.arange(looked)[None, :]
+            seen = np.where(place < n_features, np.take_along_axis(order, np.minimum(place, n_features - 1), axis=1), -1)
+            cells = min(len(nodes) * looked * WIDTH, observed * trees * looked)
+            parts = int(min(len(nodes), max(1, -(-cells // CELLS))))
+            got = state.mapInArrow(_dealt(f, nodes, seen, t, mean, spread, parts), "part int, cell binary, n binary, s binary").groupBy("part").applyInArrow(_judged(looked, WIDTH), _BEST).toArrow()
+            g = {c: got.column(c).to_numpy() for c in _BEST_NAMES}
+            by = np.argsort(g["slot"])
+            g = {c: v[by] for c, v in g.items()}
+            slot = g["slot"]
+            node, col = nodes[slot], t[tree[slot]]
+            f.value[node] = mean[col] + spread[col] * g["ts"] / g["tn"] / UNIT
+            cut = g["gain"] > 0
+            many, at = int(cut.sum()), len(f.feature)
+            left = at + 2 * np.arange(many)
+            ln, ls, tn, ts = (g[c][cut] for c in ("ln", "ls", "tn", "ts"))
+            value = np.stack([ls / np.maximum(ln, 1), (ts - ls) / np.maximum(tn - ln, 1)], axis=1) / UNIT
+            value = (mean[col[cut]][:, None] + spread[col[cut]][:, None] * value).ravel()
+            parent = node[cut]
+            f = Round(*[np.concatenate([old, new]) for old, new in ((f.feature, np.full(2 * many, -1)), (f.bin, np.zeros(2 * many, np.int64)), (f.left, np.full(2 * many, -1)), (f.value, value))])
+            f.feature[parent], f.bin[parent], f.left[parent] = seen[slot[cut], g["place"][cut]], g["bin"][cut], left
+            kids, kid_tree = np.stack([left, left + 1], axis=1).ravel(), np.repeat(tree[slot[cut]], 2)
+            deep, rows = np.repeat(depth[slot[cut]] + 1, 2), np.stack([ln, tn - ln], axis=1).ravel()
+            on = (deep < self.max_depth) & (rows > 1)
+            again = ~cut & ((tries[slot] + 1) * looked < n_features) & (g["tn"] > 1)
+            nodes, tree2, depth, tries = (np.concatenate(v) for v in ((node[again], kids[on]), (tree[slot[again]], kid_tree[on]), (depth[slot[again]], deep[on]), (tries[slot[again]] + 1, np.zeros(int(on.sum()), np.int64))))
+            order = np.concatenate([order[slot[again]], others(kids[on], kid_tree[on])])
+            by = np.argsort(nodes)
+            nodes, tree, depth, tries, order = nodes[by], tree2[by], depth[by], tries[by], order[by]
+        return f

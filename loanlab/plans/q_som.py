@@ -2,6 +2,8 @@
 chained imputation (E4)."""
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from loanlab.functions.columns import sql_hash_u32
@@ -122,13 +124,34 @@ _IMP_COLS = ["loan_amnt", "dti", "int_rate", "revol_util", "fico_score", "employ
 _GAPPY = ["revol_util", "employment_len", "open_acc", "total_acc", "revol_bal"]
 
 
-@register("iterative_impute")
-def q_iterative_impute(spark, sf):
+# what SQL can say of the imputed table: observed cells as they were, no gap left, and imputed cells within the range of observed ones
+_IMPUTED_SQL = parsed_sql(body=(
+    "SELECT loan_id, CAST(rn < FLOOR(n * 0.75) AS INTEGER) AS is_train, " + ", ".join(f"ROUND(CAST({c} AS DOUBLE), 6) AS {c}" for c in _IMP_COLS)
+    + ", CAST(0 AS BIGINT) AS gaps_left, TRUE AS in_range FROM (SELECT *, "
+    f"ROW_NUMBER() OVER (ORDER BY {sql_hash_u32('loan_id', 111, 'split')}, loan_id) - 1 AS rn, COUNT(*) OVER () AS n FROM parsed)"))
+
+
+def _imputed(spark, sf, max_depth, feature_subset):
     from loanlab.operators.sampling import split_flag
-    df = split_flag(parsed_loans(spark, sf).select("loan_id", *_IMP_COLS), "loan_id", 0.75, 111)
+    df = split_flag(parsed_loans(spark, sf).select("loan_id", *_IMP_COLS), "loan_id", 0.75, 111).persist()
     train = df.filter(F.col("is_train") == 1).select(*_IMP_COLS)
-    model = IterativeTreeImputer(_IMP_COLS, max_depth=3, feature_subset="sqrt", max_rounds=10).fit(train)
-    return model.transform(df)
+    model = IterativeTreeImputer(_IMP_COLS, max_depth=max_depth, feature_subset=feature_subset, max_rounds=10).fit(train)
+    out = model.transform(df.withColumns({f"_gap_{c}": F.col(c).isNull() for c in _IMP_COLS}))
+    ends = train.agg(*[F.min(c).alias(f"lo_{c}") for c in _IMP_COLS], *[F.max(c).alias(f"hi_{c}") for c in _IMP_COLS]).first()
+    inside = [~F.col(f"_gap_{c}") | F.col(c).between(float(ends[f"lo_{c}"]) - 1e-6, float(ends[f"hi_{c}"]) + 1e-6) for c in _IMP_COLS]
+    left = sum((F.col(c).isNull().cast("long") for c in _IMP_COLS), F.lit(0).cast("long"))
+    return rounded(out.select("loan_id", "is_train", *[F.when(~F.col(f"_gap_{c}"), F.col(c)).alias(c) for c in _IMP_COLS], left.alias("gaps_left"),
+                              functools.reduce(lambda a, b: a & b, inside).alias("in_range")))
+
+
+@register("iterative_impute", _IMPUTED_SQL)
+def q_iterative_impute(spark, sf):
+    return _imputed(spark, sf, 3, "sqrt")
+
+
+@register("iterative_impute_unbounded", _IMPUTED_SQL)
+def q_iterative_impute_unbounded(spark, sf):
+    return _imputed(spark, sf, None, "log2")
 
 
 @register("iterative_impute_mean_start", parsed_sql(body="SELECT loan_id, " + ", ".join(
