@@ -3,6 +3,7 @@ encoding (SURVEY 2.1 - 2.4)."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loanlab.functions.constants import (
     FEATURE_SET_1, FEATURE_SET_2, FEATURE_SET_3, FEATURE_SET_4, FEATURE_SETS_REMOVED,
@@ -40,6 +41,17 @@ def q_csv_gzip_roundtrip(spark, sf):
                              min_partitions=spark.sparkContext.defaultParallelism)
 
 
+@register("aligned_files", loans_sql(body="SELECT loan_id, ROUND(loan_amnt, 6) AS loan_amnt, age, y_signal FROM loans"))
+def q_aligned_files(spark, sf):
+    """Features and label written to two CSV folders and read back side by side, by position alone."""
+    x, y = scratch_path(spark, "aligned-x-csv"), scratch_path(spark, "aligned-y-csv")
+    df = loans(spark, sf)
+    tables.write_aligned(df, ["loan_id", "loan_amnt", "age"], "y_signal", "loan_id", x, y)
+    kinds = {f.name: f for f in df.schema}
+    kind = lambda *names: T.StructType([kinds[n] for n in names])
+    return rounded(tables.read_aligned(spark, x, y, kind("loan_id", "loan_amnt", "age"), kind("y_signal")))
+
+
 @register("column_subset", "SELECT l_orderkey, l_quantity, l_returnflag FROM lineitem")
 def q_column_subset(spark, sf):
     return tables.read_table(spark, f"{sf}/lineitem.parquet", columns=["l_orderkey", "l_quantity", "l_returnflag"])

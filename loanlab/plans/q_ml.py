@@ -128,16 +128,39 @@ def q_fit_cnb(spark, sf):
     return _fit_and_report(spark, sf, "CNB", "complement_nb")
 
 
-@register("fit_many", _facts_sql("LR", "DT", "SVC", "SGDC"))
+# fixed values: the eight estimators, in their recorded order
+_EIGHT = [("LR", "logistic"), ("DT", "tree"), ("ANN", "mlp"), ("SVC", "linear_svc"), ("SGDC", "sgd_hinge"), ("HGBC", "gbt"), ("RF", "random_forest"), ("GBM", "gbt_leafy")]
+
+
+@register("fit_many", _facts_sql(*[n for n, _ in _EIGHT]))
 def q_fit_many(spark, sf):
     df, feats = model_table(spark, sf)
     train, test = split_parts(df)
-    makers = {n: models.pipeline_of(feats, k) for n, k in
-              [("LR", "logistic"), ("DT", "tree"), ("SVC", "linear_svc"), ("SGDC", "sgd_hinge")]}
-    fitted, _ = models.fit_many(train, makers)
+    fitted, _ = models.fit_many(train, {n: models.pipeline_of(feats, k) for n, k in _EIGHT})
     return _facts(models.long_predictions(fitted, test, "loan_id", "label", keep=["loan_amnt"]))
 
 
+# fixed values: the members of the recorded votes, and the way they vote
+_VOTERS = {"LR": ("logistic", {}), "DT": ("tree", {}), "ANN": ("mlp", {}), "SVC": ("linear_svc", {}), "SGDC": ("sgd_hinge", {}), "NB": ("complement_nb", {}),
+           "SGDC_mh": ("sgd_modified_huber", {}), "HGBC": ("gbt", {}), "RF": ("random_forest", {"max_samples": 0.5})}
+_VOTES = {"hard_5": ("hard", ["LR", "DT", "ANN", "SVC", "SGDC"]), "hard_7": ("hard", ["LR", "DT", "ANN", "SVC", "SGDC", "HGBC", "RF"]),
+          "soft_5": ("soft", ["ANN", "LR", "DT", "NB", "SGDC_mh"]), "soft_7": ("soft", ["LR", "DT", "ANN", "NB", "SGDC_mh", "HGBC", "RF"])}
+
+
+@register("fitted_votes", _facts_sql(*_VOTES))
+def q_fitted_votes(spark, sf):
+    """Hard and soft votes of five and of seven fitted models; every model is fitted once."""
+    df, feats = model_table(spark, sf)
+    train, test = split_parts(df)
+    fitted, _ = models.fit_many(train, {n: models.pipeline_of(feats, k, **kw) for n, (k, kw) in _VOTERS.items()})
+    out = None
+    for name, (voting, members) in _VOTES.items():
+        p = ensembles.VotingModel({n: fitted[n] for n in members}, voting).transform(test)
+        p = p.select(F.lit(name).alias("model"), "loan_id", "label", "prediction", "score", "loan_amnt")
+        out = p if out is None else out.unionByName(p)
+    return _facts(out)
+
+
 @register("model_roundtrip", loans_sql(*_TEST_FACTS, body="SELECT n_test, CAST(0 AS BIGINT) AS differing FROM f"))
 def q_model_roundtrip(spark, sf):
     df, feats = model_table(spark, sf)
@@ -228,49 +251,85 @@ def q_easy_ensemble(spark, sf):
 
 
 # ------------------------------------------------------------------ selection
-@register("cross_validate")
-def q_cross_validate(spark, sf):
-    df, feats = model_table(spark, sf)
-    train, _ = split_parts(df)
-    _, scores = selection.cross_validate(train, models.pipeline_of(feats, "logistic"), n_splits=4, train_frac=0.25,
-                                         metric="recall")
-    return scores
+# fixed values: the five models that are cross-validated, in their recorded order
+_FIVE = [("LR", "logistic"), ("DT", "tree"), ("ANN", "mlp"), ("SVC", "linear_svc"), ("SGDC", "sgd_hinge")]
 
 
-@register("cross_validate_over_sampled")
-def q_cross_validate_over_sampled(spark, sf):
+def _cv_sql(train_frac: float = 0.25, n_splits: int = 4) -> str:
+    """Sizes of the parts of every split; the scores' floors hold."""
+    names = union_all(f"SELECT '{n}' AS model" for n, _ in _FIVE)
+    return loans_sql(
+        f"tr AS (SELECT y_signal AS label FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY {sql_hash_u32('loan_id', 111, 'split')}, loan_id) - 1 AS rn, COUNT(*) OVER () AS n FROM loans) WHERE rn < FLOOR(n * 0.75))",
+        f"c AS (SELECT label, COUNT(*) AS n, CAST(FLOOR(COUNT(*) * {train_frac}) AS BIGINT) AS k FROM tr GROUP BY label)",
+        "p AS (SELECT 'train' AS part, CAST(SUM(k) AS BIGINT) AS n_rows, CAST(SUM(CASE WHEN label = 1 THEN k ELSE 0 END) AS BIGINT) AS support_1 FROM c "
+        "UNION ALL SELECT 'test', CAST(SUM(n - k) AS BIGINT), CAST(SUM(CASE WHEN label = 1 THEN n - k ELSE 0 END) AS BIGINT) FROM c)",
+        f"m AS ({names})",
+        body=f"SELECT model, CAST(split AS INTEGER) AS split, part, n_rows, support_1, TRUE AS recall_ok FROM m, p, range({n_splits}) s(split)")
+
+
+def _cross_validated(spark, sf, sampler, floors):
     df, feats = model_table(spark, sf)
     train, _ = split_parts(df)
-    _, scores = selection.cross_validate(train, models.pipeline_of(feats, "logistic", sampler="over"), n_splits=4,
-                                         train_frac=0.25, metric="recall")
-    return scores
+    train = train.persist()
+    out = None
+    for name, kind in _FIVE:
+        _, scores = selection.cross_validate(train, models.pipeline_of(feats, kind, sampler=sampler), n_splits=4, train_frac=0.25, metric="recall")
+        s = scores.select(F.lit(name).alias("model"), "split", "part", "n_rows", "support_1", (F.col("score") >= floors.get(name, 0.5)).alias("recall_ok"))
+        out = s if out is None else out.unionByName(s)
+    train.unpersist()
+    return out
 
 
-_TREE_GRID = selection.grid(max_depth=[3, 5, 8, 12, 20, 30], impurity=["gini", "entropy"])
+@register("cross_validate", _cv_sql())
+def q_cross_validate(spark, sf):
+    return _cross_validated(spark, sf, "under", {})
 
 
-@register("halving_search")
-def q_halving_search(spark, sf):
+@register("cross_validate_over_sampled", _cv_sql())
+def q_cross_validate_over_sampled(spark, sf):
+    return _cross_validated(spark, sf, "over", {"DT": 0.2})
+
+
+def _halved(spark, sf, name):
+    """Rungs of the recorded grid ``name``: candidates, rows, candidates kept, and whether the best beats the larger class."""
     df, feats = model_table(spark, sf)
     train, _ = split_parts(df)
-    make = lambda p: models.ResampledPipeline(feats, models.estimator("tree", **p), sampler=None)
-    _, _, res = selection.halving_search(train, make, _TREE_GRID, factor=3, cv=5, metric="accuracy")
-    return res
+    kind, grid = selection.recorded_grids()[name]
+    _, rows = selection.halving_trees(train, feats, kind, grid)
+    share = train.agg(F.avg("label")).first()[0]
+    rungs = rows.groupBy("rung", "n_resources").agg(F.count("*").cast("int").alias("n_candidates"), F.count_if("kept").alias("n_kept"), F.max("mean_score").alias("best"))
+    return rungs.select("rung", "n_candidates", "n_resources", "n_kept", (F.col("best") >= max(share, 1 - share) - 0.02).alias("best_ok"))
 
 
-def _halving_sql(n_candidates=27, factor=3, cv=5, n_classes=2):
+def _halving_sql(n_candidates=27, factor=3, cv=5, n_classes=2, search=False):
     req = 1
     x = n_candidates
     while x >= factor:
         x //= factor
         req += 1
+    kept = ", CAST((n_candidates + 2) // 3 AS BIGINT) AS n_kept, TRUE AS best_ok" if search else ""
     smallest = 2 * cv * n_classes
     return loans_sql(
         "t AS (SELECT CAST(FLOOR(COUNT(*) * 0.75) AS BIGINT) AS n FROM loans)",
         f"m AS (SELECT n, GREATEST({smallest}, n // {factor ** (req - 1)}) AS mr FROM t)",
-        body=(f"SELECT CAST(r AS INTEGER) AS rung, CAST(({n_candidates} + POW({factor}, r)::BIGINT - 1) // POW({factor}, r)::BIGINT AS INTEGER) "
+        body=(f"SELECT *{kept} FROM (SELECT CAST(r AS INTEGER) AS rung, CAST(({n_candidates} + POW({factor}, r)::BIGINT - 1) // POW({factor}, r)::BIGINT AS INTEGER) "
               f"AS n_candidates, CAST(mr * POW({factor}, r)::BIGINT AS BIGINT) AS n_resources "
-              f"FROM m, (SELECT range AS r FROM range({req})) g WHERE mr * POW({factor}, r)::BIGINT <= n"))
+              f"FROM m, (SELECT range AS r FROM range({req})) g WHERE mr * POW({factor}, r)::BIGINT <= n)"))
+
+
+@register("halving_search", _halving_sql(27, search=True))
+def q_halving_search(spark, sf):
+    return _halved(spark, sf, "HGB")
+
+
+@register("halving_search_forest", _halving_sql(12, search=True))
+def q_halving_search_forest(spark, sf):
+    return _halved(spark, sf, "RF")
+
+
+@register("halving_search_l1_l2", _halving_sql(243, search=True))
+def q_halving_search_l1_l2(spark, sf):
+    return _halved(spark, sf, "LightGBM")
 
 
 @register("halving_schedule", _halving_sql())
@@ -281,12 +340,16 @@ def q_halving_schedule(spark, sf):
     return selection.schedule_frame(spark, sched)
 
 
-@register("param_sweep")
+_SWEEP = [10, 20, 30, 40, 50]
+
+
+@register("param_sweep", _facts_sql(*[f"BalancedBagging_{n}" for n in _SWEEP]))
 def q_param_sweep(spark, sf):
+    """Balanced bagging with 10 to 50 trees."""
     df, feats = model_table(spark, sf)
     train, test = split_parts(df)
-    make = lambda v: models.ResampledPipeline(feats, models.estimator("random_forest", trees=v), sampler="under")
-    return selection.param_sweep(train, test, make, [10, 20, 30, 40, 50], "n_estimators")
+    fitted = ensembles.bagging_sweep(train, feats, _SWEEP)
+    return _facts(models.long_predictions({f"BalancedBagging_{n}": m for n, m in fitted.items()}, test, "loan_id", "label", keep=["loan_amnt"]))
 
 
 @register("feature_set_comparison")

@@ -9,10 +9,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanlab.functions.columns import nan_to_null
+from loanlab.session import cut_lineage
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,3 +83,38 @@ def save_model(model: PipelineModel, path: str) -> str:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+# ------------------------------------------------------------------ files aligned by position
+def with_position(df: DataFrame, out: str = "_position") -> DataFrame:
+    """Rows of a file source with their place in the files, from 0: files in the order of their part numbers (then names), rows in
+    file order.
+
+    A split's rows are numbered within the task that reads it; the rows of earlier splits are added as prefix sums over
+    the table of splits, whose size is that of the file list, not of the data.
+    """
+    read = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+    read = cut_lineage(read.withColumn("_n", F.monotonically_increasing_id()))
+    number = F.regexp_extract("_file", r"part-(\d{1,18})[^/]*$", 1).try_cast("bigint")
+    splits = read.groupBy("_file", "_block").agg(F.min("_n").alias("_least"), F.count("*").alias("_rows"))
+    order = Window.orderBy(number.asc_nulls_last(), "_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = cut_lineage(splits.select("_file", "_block", (F.coalesce(F.sum("_rows").over(order), F.lit(0)) - F.col("_least")).alias("_shift")))
+    small = splits.count() * 512 <= 64 << 20
+    placed = read.join(F.broadcast(splits) if small else splits, ["_file", "_block"])
+    return placed.withColumn(out, F.col("_n") + F.col("_shift")).drop("_file", "_block", "_n", "_shift")
+
+
+def write_aligned(df: DataFrame, features: Sequence[str], label: str, order: str, x_path: str, y_path: str, gzip: bool = False) -> None:
+    """Two CSV folders, features and label apart, whose rows correspond by position (in the order of ``order``)."""
+    ordered = cut_lineage(df.orderBy(order).select(*features, label))
+    write_table(ordered.select(*features), x_path, "csv", gzip)
+    write_table(ordered.select(label), y_path, "csv", gzip)
+
+
+def read_aligned(spark: SparkSession, x_path: str, y_path: str, x_schema, y_schema) -> DataFrame:
+    """Features and label of two CSV folders side by side, row by row; unequal row counts are an error."""
+    x, y = (with_position(spark.read.schema(s).option("header", True).csv(p)) for p, s in ((x_path, x_schema), (y_path, y_schema)))
+    n, m = x.count(), y.count()
+    if n != m:
+        raise ValueError(f"{n} rows of features, {m} labels")
+    return nan_to_null(x.join(y, "_position").drop("_position"))
