@@ -18,10 +18,12 @@ repeated rows are returned as often as they occur; the parameters do not depend
 """
 from __future__ import annotations
 
+import bisect
 import html as entity
 import pickle
 import random
 import re
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,12 @@ from loanlab.llm.text import map_arrow, reliable, values
 SAMPLE = 120
 TREES, LEVELS = 12, 4
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|title|textarea|select|svg|iframe|button)\b(?:"[^"]*"|'[^']*'|[^>"'])*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:"[^"]*"|'[^']*'|[^>"'])*)>|<[!?][^>]*>|([^<]+|<)""", re.S | re.I)
+_ATTRS = r"""(?:"[^"]*"|'[^']*'|[^>"'])*"""
+_RAW = "script|style|noscript|template|title|textarea|select|svg|iframe|button"   # their content is no text
+_MARK = re.compile(rf"""<!--.*?(?:-->|\Z)|<({_RAW})\b{_ATTRS}>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)({_ATTRS})>|<[!?][^>]*>""", re.S | re.I)
+_NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+_RAW_NAME = re.compile(rf"(?:{_RAW})\Z", re.I)
+_EDGE = re.compile(r"""[>"']""")
 _ATTR = re.compile(r"""(class|id|role|data-gold)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
@@ -61,10 +68,76 @@ class Node:
         self.lead = tag in GOOD_TAGS or tag == "h1"  # or holds such an element
 
 
+class _Ends:
+    """Where a tag whose attributes start at a place ends: the first ``>`` outside quotes (None: nowhere).
+
+    All answers are made at once, from the right; asked for only when a tag without an end was met, so that pages with
+    many of them stay linear."""
+
+    def __init__(self, page: str):
+        self.at = [m.start() for m in _EDGE.finditer(page)]
+        self.end: list[int | None] = [None] * (len(self.at) + 1)
+        after = {'"': len(self.at), "'": len(self.at)}  # the place after the next quote of each kind
+        for i in range(len(self.at) - 1, -1, -1):
+            c = page[self.at[i]]
+            if c == ">":
+                self.end[i] = self.at[i]
+            else:
+                self.end[i] = self.end[after[c]]
+                after[c] = i + 1
+
+    def of(self, place: int) -> int | None:
+        return self.end[bisect.bisect_left(self.at, place)]
+
+
+def marks(page: str):
+    """(text, closing, tag, attributes) in page order: a piece of text alone, or a tag; comments, declarations and the content
+    of raw elements are left out.  A tag without an end is text.  Linear in the page."""
+    pos, last, ends = 0, page.rfind(">"), None
+    while pos < len(page):
+        at = page.find("<", pos)
+        if at < 0:
+            yield page[pos:], None, None, None
+            return
+        if at > pos:
+            yield page[pos:at], None, None, None
+        pos = at
+        if at > last:   # no tag ends any more, nor does a comment
+            comment = page.find("<!--", at)
+            yield page[at:comment if comment >= 0 else len(page)], None, None, None
+            return
+        name = _NAME.match(page, at)
+        if name and ends is not None:
+            stop = ends.of(name.end())
+            if stop is None:
+                yield "<", None, None, None
+                pos = at + 1
+            elif not name[1] and _RAW_NAME.match(name[2]):
+                close = re.compile(rf"</{name[2]}\s*>", re.I).search(page, stop + 1)
+                pos = close.end() if close else len(page)
+            else:
+                yield None, bool(name[1]), name[2].lower(), page[name.end():stop]
+                pos = stop + 1
+            continue
+        m = _MARK.match(page, at)
+        if m is None:
+            if name:
+                ends = _Ends(page)
+                continue
+            yield "<", None, None, None
+            pos = at + 1
+            continue
+        if m[3]:
+            yield None, bool(m[2]), m[3].lower(), m[4]
+        pos = m.end()
+
+
 def parse(page: str) -> Node:
     """Block tree of a page; text blocks are leaves with tag ``#text``."""
     root = Node("#root", None)
-    stack, block, inline = [root], [], []  # open blocks; current inline run; open inline tags
+    stack, block = [root], []         # open blocks; current inline run
+    where = defaultdict(list)         # places of each tag on the stack
+    inline = Counter()                # open inline tags
 
     def flush():
         if block:
@@ -80,55 +153,49 @@ def parse(page: str) -> Node:
 
     def close(at: int):
         flush()
+        for node in stack[at:]:
+            where[node.tag].pop()
         del stack[at:]
         inline.clear()
 
-    for m in _TOKEN.finditer(page):
-        kind = m.lastindex
-        if kind == 5:
-            block.append((m[5], "a" in inline))
-            continue
-        tag = m[3]
-        if tag is None:
+    def top(tags) -> int:
+        """Place of the innermost open block with one of these tags; 0 if there is none."""
+        return max((where[t][-1] for t in tags if where[t]), default=0)
+
+    for text, closing, tag, attributes in marks(page):
+        if text is not None:
+            block.append((text, inline["a"] > 0))
             continue
-        tag = tag.lower()
-        if m[2]:
+        if closing:
             if tag in INLINE:
-                if tag in inline:
-                    del inline[len(inline) - 1 - inline[::-1].index(tag)]
+                if inline[tag]:
+                    inline[tag] -= 1
                 continue
-            at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
+            at = top((tag,))
             if at:
                 close(at)
-            elif tag in ("p",):
+            elif tag == "p":
                 flush()
             continue
         if tag in INLINE:
             if tag == "br":
                 block.append((" ", False))
             elif tag not in VOID:
-                inline.append(tag)
+                inline[tag] += 1
             continue
-        if tag in CLOSES_P:
-            at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p"), 0)
-            if at:
-                close(at)
-        if tag in SAME:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in SCOPE[tag]:
-                    break
-                if stack[i].tag in SAME[tag]:
-                    close(i)
-                    break
+        if tag in CLOSES_P and (at := top(("p",))):
+            close(at)
+        if tag in SAME and (at := top(SAME[tag])) > top(SCOPE[tag]):
+            close(at)
         flush()
         if tag in VOID or tag in ("html", "body", "head"):
             if tag == "body":
                 close(1)
             continue
         tokens, gold = (), None
-        if m[4]:
+        if attributes:
             found = []
-            for name, v in _ATTR.findall(m[4]):
+            for name, v in _ATTR.findall(attributes):
                 if name == "data-gold":
                     gold = v.strip("\"'") == "1"
                 else:
@@ -136,6 +203,7 @@ def parse(page: str) -> Node:
             tokens = tuple(found)
         node = Node(tag, stack[-1], tokens, gold)
         stack[-1].kids.append(node)
+        where[tag].append(len(stack))
         stack.append(node)
     flush()
     return root
