@@ -28,6 +28,7 @@ BATCH = 1 << 15       # queries of one broadcast (16 MB of 64 doubles)
 PIVOTS = 64
 SAMPLE = 2048
 LONG = 2**63 - 1
+HUGE = 1e150   # integers beyond count as this: a score of theirs is past a long anyway, unless they cancel out
 
 
 def matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -43,7 +44,7 @@ def matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 
 def products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Exact integer inner products as int64."""
+    """Exact integer inner products, clipped to int64."""
     if not q.size or not v.size:
         return np.zeros((len(q), len(v)), np.int64)
     if np.abs(q).max() * np.abs(v).max() * q.shape[1] < 2**53:
@@ -186,4 +187,4 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
 
 def _floor(x: F.Column) -> F.Column:
     """Floor as a double (Spark's floor gives a long, which huge values leave)."""
-    return F.when(F.abs(x) < 2.0**62, F.floor(F.when(F.abs(x) < 2.0**62, x).otherwise(0.0)).cast("double")).otherwise(x)
+    return F.when(F.abs(x) < 2.0**62, F.floor(F.when(F.abs(x) < 2.0**62, x).otherwise(0.0)).cast("double")).otherwise(F.greatest(F.lit(-HUGE), F.least(F.lit(HUGE), x)))
