@@ -27,9 +27,9 @@ from pyspark.sql import types as T
 from loanlab.llm.text import broadcast_if_small, map_arrow, reliable, values
 
 KEY = "public-example-key"
-AVOID, WIDEN = 8, 16  # attempts that avoid real entities, and that keep the narrow form; each later one may be a sign longer
+WIDEN = 16  # attempts that keep the narrow form; each later one may be a sign longer
 
-_LOCAL = re.compile(r"[\w.+%-]+$")
+_LOCAL = re.compile(r"[\w.+%-]")
 _DOMAIN = re.compile(r"(?:[^\W_](?:[\w-]*[^\W_])?\.)+[^\W\d_]{2,}")
 _NUMBER = re.compile(r"\+?\(?\d[\d .()/-]{5,}\d")
 _CARDS = re.compile(r"(?<![\w.])\d(?:[ -]?\d){12,}(?!\w)")
@@ -86,9 +86,13 @@ def entities(text: str) -> list[tuple[int, int, str]]:
     found = []
     at = text.find("@")
     while at >= 0:
-        left, right = _LOCAL.search(text, max(0, at - 256), at), _DOMAIN.match(text, at + 1)
-        if left and right:
-            start = left.start() + len(left[0]) - len(left[0].lstrip(".+%-"))
+        right = _DOMAIN.match(text, at + 1)
+        if right:
+            start = at
+            while start and _LOCAL.match(text, start - 1):   # an @ is no such letter: no place is passed twice
+                start -= 1
+            while start < at and text[start] in ".+%-":
+                start += 1
             if start < at:
                 found.append((start, right.end(), "email"))
         at = text.find("@", at + 1)
@@ -279,7 +283,7 @@ def redrawn(known: DataFrame, key: str = KEY) -> DataFrame:
         first = reliable(have.groupBy("kind", "made").agg(F.min("norm").alias("owner"), F.max("norm").alias("last")).where("owner < last").drop("last"))
         shared = have.join(broadcast_if_small(first, 200), ["kind", "made"]).where("norm <> owner").select("kind", "norm")
         real = known.select("kind", F.col("norm").alias("made"))
-        real = have.where(F.col("attempt") < AVOID).join(real, ["kind", "made"], "left_semi").select("kind", "norm")
+        real = have.join(real, ["kind", "made"], "left_semi").select("kind", "norm")
         again = reliable(shared.union(real).distinct())
         if not again.take(1):
             return have.where("attempt > 0").select("kind", "norm", "attempt")
@@ -315,13 +319,15 @@ def _replaced(at: int, width: int, key: str, names: list[str]):
 
 
 def pseudonymise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str = KEY) -> DataFrame:
-    """``docs`` with its columns, the text replaced, and ``_entities`` and ``_kinds`` added."""
+    """``docs`` with its columns, the text replaced, and ``_entities`` and ``_kinds`` added (in place of columns so named)."""
     kind = docs.schema[id_col].dataType.simpleString()
+    docs = docs.drop("_entities", "_kinds")
     seen = reliable(map_arrow(docs.where(F.col(text_col).isNotNull()).select(id_col, text_col), _mentions, f"id {kind}, kind string, norm string"))
     redo = reliable(redrawn(reliable(seen.select("kind", "norm").distinct()), key))
-    mine = seen.join(broadcast_if_small(redo, 200), ["kind", "norm"]).groupBy("id").agg(F.collect_set(F.struct("kind", "norm", "attempt")).alias("_redo"))
+    own, tries = (next(n for n in (f"_{x}{i or ''}" for i in range(len(docs.columns) + 1)) if n not in docs.columns) for x in ("own", "redo"))
+    mine = seen.join(broadcast_if_small(redo, 200), ["kind", "norm"]).groupBy(F.col("id").alias(own)).agg(F.collect_set(F.struct("kind", "norm", "attempt")).alias(tries))
     mine = reliable(mine)
-    rows = docs.join(broadcast_if_small(mine, 1024), docs[id_col].eqNullSafe(mine["id"]), "left").select(*[docs[c] for c in docs.columns], "_redo")
+    rows = docs.join(broadcast_if_small(mine, 1024), F.col(id_col).eqNullSafe(F.col(own)), "left").select(*[F.col(f"`{c}`") for c in docs.columns], tries)
     names = [*docs.columns, "_entities", "_kinds"]
     schema = T.StructType([*docs.schema.fields, T.StructField("_entities", T.LongType()), T.StructField("_kinds", T.StringType())])
     return map_arrow(rows, _replaced(docs.columns.index(text_col), len(docs.columns), key, names), schema)

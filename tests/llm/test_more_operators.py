@@ -230,3 +230,48 @@ def test_surrogates_never_run_out(docs):
         assert len(late) > len(early), kind
         assert pii.normal(kind, pii.rendered(kind, value, n, 2 * pii.WIDEN + 8, pii.KEY)) == pii.normal(kind, late)
     assert luhn_ok(pii.surrogate("card", "4222222222222", 40)) and pii.iban_rest(pii.surrogate("iban", "GB82WEST12345698765432", 40)) == 1
+
+
+@pytest.mark.parametrize("part", ["<b ", "<div>", '<a "', "<a '\"", "<li>", "<!x", "<!--", "<p>", "</p", "<script", "<div><li>", "<li></li>", "&", "<ul><div>"])
+def test_malformed_pages_are_linear(part):
+    """Ten times the page takes about ten times as long, whatever its tags and quotes lack."""
+    import time
+
+    def seconds(size):
+        t = time.process_time()
+        html.features(html.parse(part * (size // len(part)) + "'"))
+        return time.process_time() - t
+    seconds(2_000)
+    assert seconds(200_000) < 40 * max(seconds(20_000), 0.01)
+
+
+def test_tags_without_an_end():
+    def texts(node):
+        return ([node.text] if node.text else []) + [t for k in node.kids for t in texts(k)]
+    assert texts(html.parse('a <b "x> y')) == ['a <b "x> y']                       # the quote never closes
+    assert texts(html.parse('<p>one</p><a href="x>two<p>three</p>')) == ["one", '<a href="x>two', "three"]
+    assert texts(html.parse("x <!-- open <p>y")) == ["x"] and texts(html.parse("1 < 2 <!-- z")) == ["1 < 2"]
+
+
+def test_top_k_of_huge_values(spark):
+    rows = [(100, [1e306, -1.0]), (1, [1e306, 1.0]), (2, [-1e306, 1e308]), (3, [1.7e308, 0.0]), (4, [0.5, 0.25]), (200, [2.0, 4.0])]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id): r.score for r in topk.top_k(v, v.where("vec_id % 100 = 0")).collect()}
+    assert len(got) == 10 and got[100, 1] == got[100, 3] == 2**63 - 1 and got[100, 2] == -(2**63 - 1) and got[200, 4] == 2048 * 512 + 4096 * 256
+
+
+def test_long_local_parts_and_clashing_names(spark, docs):
+    long = "a" * 400 + ".b"
+    rows = [(1, f"write to {long}@example.org now"), (2, "x@@y.org q@.org a.b@c-d.example.com"), (3, None)]
+    df = docs(rows).withColumns({"_redo": F.lit("keep"), "_own": F.lit(7), "id": F.col("doc_id"), "_kinds": F.lit("old")})
+    out = {r.doc_id: r for r in pii.pseudonymise(df).collect()}
+    assert "aaaa" not in out[1].text and out[1]._entities == 1 and out[1]._redo == "keep" and out[1]._own == 7 and out[1]._kinds == "email"
+    assert "a.b@c-d" not in out[2].text and out[3].text is None
+    assert len(pii.entities("a@" * 50_000)) == 0
+
+
+def test_one_letter_addresses_avoid_real_ones(spark, docs):
+    """Every letter of one domain is taken, so no surrogate may be one of them."""
+    rows = [(i, f"{chr(97 + i)}@x.com") for i in range(26)]
+    got = [r.text for r in pii.pseudonymise(docs(rows)).collect()]
+    assert len(set(got)) == 26 and not set(got) & {t for _, t in rows}
