@@ -19,6 +19,7 @@ import hashlib
 import json
 import re
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -31,7 +32,10 @@ from loanlab.llm.text import map_arrow, values
 BLOCK = 256
 #: Unicode's white space, for use inside a character class (``\\s`` of Python's engines has more).
 SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-WORDS_KEPT = 200_000
+WORDS_KEPT = 50_000
+PIECE = 1 << 16        # letters split into words together
+STEP = 4096            # ids decoded together
+OUT_BYTES = 4 << 20    # of ids and text in one batch of results
 
 
 def byte_letters() -> list[str]:
@@ -72,13 +76,23 @@ class Transducer:
         self.words = regex.compile(pattern).findall
         # the same pattern over ASCII only, for the standard engine, which is faster
         self.ascii_words = re.compile(pattern.replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9")).findall
+        self.space = re.compile(f"[{SPACES}]")
         self.letters = byte_letters()
         self.by_id = {i: t for t, i in {**self.vocab, **special}.items()}
         self.bytes_of = {i: t.encode() for i, t in self.by_id.items()}
+        self.plain_bytes = self._plain_bytes(special)
         self.id_bytes = {t: int(i).to_bytes(4, "little") for t, i in self.vocab.items()}
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def _plain_bytes(self, special: dict[str, int]) -> dict[int, bytes]:
+        """What each id stands for: bytes of its letters, a space at a word's end; special tokens as they are."""
+        byte, end, out = {c: b for b, c in enumerate(self.letters)}, self.end, {}
+        for i, t in self.by_id.items():
+            stop = bool(end) and t.endswith(end)
+            out[i] = t.encode() if t in special else bytes(byte[c] for c in (t[:-len(end)] if stop else t)) + (b" " if stop else b"")
+        return out
+
     def merged(self, symbols: list[str]) -> list[str]:
         """Apply merges, lowest rank and then leftmost first, until none fits."""
         get, none = self.ranks.get, 1 << 60
@@ -131,6 +145,26 @@ class Transducer:
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
+        return b"".join(self.encoded(text))
+
+    def encoded(self, text: str) -> Iterator[bytes]:
+        """The same, a piece of about ``PIECE`` letters at a time, so that no list of all words is made.
+
+        White space is in no token and joins with no letter, so a piece may end after it."""
+        at = 0
+        while len(text) - at > PIECE:
+            space = self.space.search(text, at + PIECE)
+            end = space.end() if space else len(text)
+            yield self.piece(text[at:end])
+            at = end
+        if at < len(text):
+            yield self.piece(text[at:] if at else text)
+
+    def forget(self):
+        """Empty the word caches (a worker process outlives its task)."""
+        self.cache, self.older = {}, {}
+
+    def piece(self, text: str) -> bytes:
         if self.cut is not None and "<|" in text:
             return b"".join(np.array([self.special[p]], "<u4").tobytes() if p in self.special else self.plain(p) for p in self.cut.split(text))
         return self.plain(text)
@@ -164,7 +198,6 @@ class Decoder:
     def __init__(self, owner: Transducer):
         self.owner, self.started = owner, False
         self.utf8 = codecs.getincrementaldecoder("utf-8")("replace")
-        self.byte = {c: b for b, c in enumerate(owner.letters)}
 
     def tokens(self, ids: list[int]) -> bytes:
         out = b" ".join(map(self.owner.bytes_of.__getitem__, ids))
@@ -174,19 +207,7 @@ class Decoder:
         return out
 
     def text(self, ids: list[int], last: bool = False) -> str:
-        out, end = [], self.owner.end
-        for i in ids:
-            t = self.owner.by_id[i]
-            if t in self.owner.special:
-                out.append(self.utf8.decode(b"") + t)
-                continue
-            stop = bool(end) and t.endswith(end)
-            out.append(self.utf8.decode(bytes(self.byte[c] for c in (t[:-len(end)] if stop else t))))
-            if stop:
-                out.append(" ")
-        if last:
-            out.append(self.utf8.decode(b"", True))
-        return "".join(out)
+        return self.utf8.decode(b"".join(map(self.owner.plain_bytes.__getitem__, ids)), last)
 
 
 @lru_cache(maxsize=2)
@@ -208,16 +229,17 @@ def digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
         for b in batches:
             n, ids_sha, text_sha = [], [], []
             for v in values(b.column(1)):
-                ids = t.encode(v.decode("utf-8", "replace")) if v else b""
-                n.append(len(ids) // 4)
-                ids_sha.append(hashlib.sha256(ids).hexdigest())
-                h, d = hashlib.sha256(), Decoder(t)
-                every = np.frombuffer(ids, "<u4")
-                for i in range(0, len(every), 1 << 14):
-                    h.update(d.tokens(every[i:i + (1 << 14)].tolist()))
-                text_sha.append(h.hexdigest())
+                count, of_ids, of_text, d = 0, hashlib.sha256(), hashlib.sha256(), Decoder(t)
+                for ids in t.encoded(v.decode("utf-8", "replace")) if v else ():
+                    count += len(ids) // 4
+                    of_ids.update(ids)
+                    of_text.update(d.tokens(np.frombuffer(ids, "<u4").tolist()))
+                n.append(count)
+                ids_sha.append(of_ids.hexdigest())
+                text_sha.append(of_text.hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
                                              names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        t.forget()
 
     kind = df.schema[id_col].dataType.simpleString()
     return map_arrow(df.select(id_col, text_col), run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
@@ -227,20 +249,28 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     """Per row: id, n_tokens, ids (array of int) and the decoded text (byte-to-text form)."""
     raw = _file(df, path)
 
+    def out(keys, ids, text):
+        ends = np.zeros(len(ids) + 1, np.int32)
+        np.cumsum([len(x) // 4 for x in ids], out=ends[1:])
+        flat = pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32())
+        return pa.RecordBatch.from_arrays([keys, pa.array(np.diff(ends), pa.int64()), pa.ListArray.from_arrays(pa.array(ends), flat), pa.array(text, pa.string())],
+                                          names=["doc_id", "n_tokens", "ids", "decoded"])
+
     def run(batches):
         t = transducer(raw.value)
         for b in batches:
-            ids, text = [], []
-            for v in values(b.column(1)):
-                one = np.frombuffer(t.encode(v.decode("utf-8", "replace")) if v else b"", "<u4")
-                ids.append(one.astype(np.int32))
-                d = Decoder(t)
-                text.append("".join(d.text(one[i:i + 4096].tolist(), i + 4096 >= len(one)) for i in range(0, len(one), 4096)))
-            ends = np.zeros(len(ids) + 1, np.int32)
-            np.cumsum([len(x) for x in ids], out=ends[1:])
-            flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(ends), pa.int64()), pa.ListArray.from_arrays(pa.array(ends), flat), pa.array(text, pa.string())],
-                                             names=["doc_id", "n_tokens", "ids", "decoded"])
+            ids, text, first, held = [], [], 0, 0
+            for at, v in enumerate(values(b.column(1)), 1):
+                one = t.encode(v.decode("utf-8", "replace")) if v else b""
+                every, d = np.frombuffer(one, "<u4"), Decoder(t)
+                ids.append(one)
+                text.append("".join(d.text(every[i:i + STEP].tolist(), i + STEP >= len(every)) for i in range(0, len(every), STEP)))
+                held += len(one) + len(text[-1])
+                if held >= OUT_BYTES:  # rows leave by size, not by the batches that came in
+                    yield out(b.column(0).slice(first, at - first), ids, text)
+                    ids, text, first, held = [], [], at, 0
+            yield out(b.column(0).slice(first), ids, text)
+        t.forget()
 
     kind = df.schema[id_col].dataType.simpleString()
     return map_arrow(df.select(id_col, text_col), run, f"doc_id {kind}, n_tokens long, ids array<int>, decoded string")

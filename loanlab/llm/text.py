@@ -1,6 +1,8 @@
 """Helpers shared by the text operators: Arrow batches, word and window hashes, row tables."""
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -19,9 +21,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package made importable on the executors."""
+    """``mapInArrow`` with this package made importable on the executors.  Python workers outlive their
+    tasks: what a task has freed goes back to the system at its end, or idle workers would hold it."""
     ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            give_back()
+    return df.mapInArrow(run, schema)
+
+
+def give_back() -> None:
+    """Return freed memory of this process to the system (where the C library can)."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
 
 
 def reliable(df: DataFrame) -> DataFrame:

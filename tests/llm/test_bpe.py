@@ -58,5 +58,25 @@ def test_query_rows(spark, docs, sf, both):
         assert by[i].decoded_sha256 == hashlib.sha256(both[1].decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
+def test_pieces_give_the_same_ids(both, monkeypatch):
+    mine, lib = both
+    rng = random.Random(9)
+    for size in (1, 3, 17):
+        monkeypatch.setattr(bpe, "PIECE", size)
+        for _ in range(150):
+            s = "".join(rng.choice(["a", "é", "e\u0301", "\u0301", " ", "\u2001", "\x85", "Σ", "ΑΣ ", "<|endoftext|>", "'s", "1", "!", "\n", "日"]) for _ in range(40))
+            assert np.frombuffer(mine.encode(s), "<u4").tolist() == lib.encode(s, add_special_tokens=False).ids, s
+
+
+def test_encode_by_size(spark, docs, both, monkeypatch):
+    monkeypatch.setattr(bpe, "OUT_BYTES", 100)
+    rows = [(i, "word naïve 日本 " * (i % 7)) for i in range(40)] + [(None, None), (50, "")]
+    got = bpe.encode(docs(rows), tokenizer_path()).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        t = dict(rows)[r.doc_id] or ""
+        assert r.ids == both[1].encode(t, add_special_tokens=False).ids and r.n_tokens == len(r.ids) and r.decoded == t
+
+
 def test_empty_table(spark, docs, sf):
     assert QUERIES["op1_bpe"](spark, sf(documents=docs([(1, "a")]).limit(0))).count() == 0
