@@ -31,6 +31,7 @@ from loanlab.llm.text import map_arrow, mixed, values
 
 ORDER = 4
 SAMPLE = 300
+POSITIONS = 1 << 17  # looked up together
 LETTER = r"\p{L}"
 
 
@@ -151,26 +152,38 @@ def looked_up(tables, codes: np.ndarray, k: int) -> np.ndarray:
 
 
 def code_lengths(model: dict, texts: list[bytes]) -> np.ndarray:
-    """Bits of each text in each language (texts of a batch are looked up together)."""
+    """Bits of each text in each language.  Positions are looked up ``POSITIONS`` at a time, over several short texts or a piece
+    of a long one (with the ``ORDER`` bytes before it), so memory does not grow with the text."""
     out = np.zeros((len(texts), len(model["langs"])))
-    data = [np.frombuffer(t, np.uint8) for t in texts]
+    held, size = [], 0
+
+    def settle(k):
+        cost = looked_up(model["tables"], np.concatenate([p for _, p in held]), k)
+        starts = np.cumsum([0] + [len(p) for _, p in held[:-1]])
+        np.add.at(out, [i for i, _ in held], np.add.reduceat(cost, starts, axis=0))
+
     for k in range(ORDER + 1):
-        # the first bytes have shorter contexts; from position ORDER on, the full one
-        parts = [grams(d if k == ORDER else d[:k + 1], k) for d in data]
-        sizes = np.array([len(p) for p in parts])
-        if sizes.sum() == 0:
-            continue
-        cost = looked_up(model["tables"], np.concatenate(parts), k)
-        full = sizes > 0
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])[full]
-        out[full] += np.add.reduceat(cost, starts, axis=0)
+        for i, t in enumerate(texts):
+            d = np.frombuffer(t, np.uint8)
+            # the first bytes have shorter contexts; from position ORDER on, the full one
+            for at in range(0, max(1, len(d) - k), POSITIONS) if k == ORDER else (0,):
+                p = grams(d[at:at + POSITIONS + k] if k == ORDER else d[:k + 1], k)
+                if len(p):
+                    held.append((i, p))
+                    size += len(p)
+                if size >= POSITIONS:
+                    settle(k)
+                    held, size = [], 0
+        if held:
+            settle(k)
+            held, size = [], 0
     return out
 
 
 def _predicted(model):
     def run(batches):
         m = pickle.loads(model.value)
-        step = 1 << 20
+        step = 1 << 20   # bytes of text whose results are made together
         for b in batches:
             texts = [v or b"" for v in values(b.column(1))]
             lettered = b.column(2).to_pylist()
