@@ -104,10 +104,10 @@ class Tree:
     rows: np.ndarray
     stats: np.ndarray | None = None
 
-    def leaves(self, bins: np.ndarray) -> np.ndarray:
-        """Leaf of each row."""
-        at = np.zeros(len(bins), np.int32)
-        todo = np.arange(len(bins))
+    def leaves(self, bins: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+        """Leaf of each row; ``at``: nodes reached already (changed in place)."""
+        at = np.zeros(len(bins), np.int32) if at is None else at
+        todo = np.nonzero(self.feature[at] >= 0)[0]
         while len(todo):
             here = at[todo]
             f = self.feature[here]
@@ -248,12 +248,16 @@ GOSS_TOP, GOSS_REST, GOSS_BINS = 0.2, 0.1, 4096
 
 def _histograms(block: dict, msg: dict) -> np.ndarray:
     """[3, features, leaves, bins] of the leaves in ``msg["slots"]``, exact whole units."""
-    rows, g, h = _gradients(block, msg)
-    bins, tree, slots = block["bins"], msg["tree"], msg["slots"]
+    if block.get("made", (None,))[0] != msg["round"]:   # one task's own blocks stay from wave to wave
+        rows, g, h = _gradients(block, msg)
+        block["made"] = (msg["round"], rows, g, h, block["bins"][rows], np.zeros(len(rows), np.int32))
+    _, rows, g, h, bins, reached = block["made"]
+    tree, slots = msg["tree"], msg["slots"]
+    rows = np.arange(len(rows))
     if tree is not None:
         slot = np.full(len(tree.feature), -1)
         slot[slots] = np.arange(len(slots))
-        at = slot[tree.leaves(bins[rows])]
+        at = slot[tree.leaves(bins, reached)]
         here = at >= 0
         rows, g, h, at = rows[here], g[here], h[here], at[here]
     else:
@@ -295,11 +299,11 @@ def _moved(block: dict, add: list) -> dict:
     s = block["score"]
     for tree, c in add:
         s = s + (c if tree is None else c * tree.value[tree.leaves(block["bins"])])
-    return {**block, "score": s}
+    return {**block, "score": s, "made": (None,)}
 
 
 class Local:
-    """Blocks that one task holds: a bounded set of rows (see ``selection``)."""
+    """Blocks that one task holds: one partition's, or a bounded set of rows (see ``selection``)."""
 
     def __init__(self, blocks: list[dict]):
         self.blocks = blocks
@@ -470,7 +474,8 @@ class HistBoost:
     def fit(self, df: DataFrame, cols: Sequence[str], label: str, key: str) -> GBTClassificationModel:
         """Trees over the vector of ``cols`` (in this order, column ``features``)."""
         spark = df.sparkSession
-        df = right_size(df.select(*cols, F.col(label).cast("double").alias("label"), hash_u32(key, self.seed, "boost").alias("key")), 8 * (len(cols) + 2))
+        # partitions by their size in bins; as many blocks as fit in one are boosted in its task without a job for each wave
+        df = right_size(df.select(*cols, F.col(label).cast("double").alias("label"), hash_u32(key, self.seed, "boost").alias("key")), len(cols) + 32)
         try:
             stop = df.count() > self.STOP_FROM if self.early_stopping == "auto" else bool(self.early_stopping)
             cuts = fit_cuts(df, cols, self.max_bins)
@@ -478,11 +483,15 @@ class HistBoost:
             extra = {"label": "<f8", "key": "<i8", "part": "<i1"}
             frame = block_frame(df.withColumn("part", part), cols, cuts, extra)
             blocks = frame.rdd.map(lambda r: {**block_of(r, extra), "score": np.zeros(r["n"])})
-            run = Distributed(blocks)
-            try:
-                self.fit_ = boost(run, Boost(**{"stop_after": 10 if stop else None, "seed": self.seed, **self.spec}), WIDTH)
-            finally:
-                run.close()
+            spec = Boost(**{"stop_after": 10 if stop else None, "seed": self.seed, **self.spec})
+            if blocks.getNumPartitions() == 1:
+                self.fit_ = blocks.mapPartitions(lambda it: [boost(Local(list(it)), spec, WIDTH)]).collect()[0]
+            else:
+                run = Distributed(blocks)
+                try:
+                    self.fit_ = boost(run, spec, WIDTH)
+                finally:
+                    run.close()
         finally:
             df.unpersist()
         self.cuts_ = cuts

@@ -97,12 +97,13 @@ def frame(spark, x, y):
     return spark.createDataFrame([(i, *map(float, r), int(t)) for i, (r, t) in enumerate(zip(x, y))], "k long, a double, b double, c double, d double, label int")
 
 
-def test_fit_on_spark(spark):
+def test_fit_on_spark(spark, monkeypatch):
     x, y = sample(4000, 2)
     df = frame(spark, x, y)
     cols = ["a", "b", "c", "d"]
     margins = []
     for n in (1, 6):
+        monkeypatch.setattr(H, "right_size", lambda d, size: d.repartition(n).persist())   # one task, or a job for each wave
         est = H.HistBoost(rounds=12, early_stopping=False)
         model = PipelineModel([VectorAssembler(inputCols=cols, outputCol="features"), est.fit(df.repartition(n), cols, "label", "k")])
         out = model.transform(df).select("k", "label", vector_to_array("probability")[1].alias("p")).orderBy("k").collect()
