@@ -324,16 +324,6 @@ def q_halving_search(spark, sf):
     return _halved(spark, sf, "HGB")
 
 
-@register("halving_search_forest", _halving_sql(12, search=True))
-def q_halving_search_forest(spark, sf):
-    return _halved(spark, sf, "RF")
-
-
-@register("halving_search_l1_l2", _halving_sql(243, search=True))
-def q_halving_search_l1_l2(spark, sf):
-    return _halved(spark, sf, "LightGBM")
-
-
 @register("halving_schedule", _halving_sql())
 def q_halving_schedule(spark, sf):
     from loanlab.sources.fixtures import loans

@@ -37,7 +37,7 @@ def test_every_oracle_has_a_query():
 # fits of a minute or more: run them with LOANLAB_SLOW=1 or scripts/oracle_check.py
 SLOW = {"stacking", "fit_gbt", "fit_gbt_leafy", "fit_random_forest", "fit_random_forest_weighted", "balanced_bagging",
         "balanced_random_forest", "easy_ensemble", "fit_mlp", "fit_many", "fit_sgd_hinge", "fit_sgd_modified_huber",
-        "fitted_votes", "cross_validate", "cross_validate_over_sampled", "halving_search", "halving_search_forest", "halving_search_l1_l2", "oob_score", "param_sweep", "iterative_impute_unbounded"}
+        "fitted_votes", "cross_validate", "cross_validate_over_sampled", "halving_search", "oob_score", "param_sweep", "iterative_impute_unbounded"}
 NAMES = sorted(n for n in ORACLE if n not in SLOW or os.environ.get("LOANLAB_SLOW"))
 
 
