@@ -136,3 +136,29 @@ def test_cuts(spark):
     df = spark.createDataFrame([(float(i % 7), None if i % 2 else float(i), float("nan"), 3.0) for i in range(3000)], "a double, b double, c double, d double")
     a, b, c, d = H.fit_cuts(df, ["a", "b", "c", "d"])
     assert a.tolist() == [0, 1, 2, 3, 4, 5] and 200 < len(b) < 256 and len(c) == 0 and len(d) == 0
+
+
+def test_one_array_reaches_the_driver(spark, monkeypatch):
+    """Sums of any number of partitions are added up on the executors, and bins that no feature uses do not travel."""
+    monkeypatch.setattr(H, "FEW", 1)
+    x, y = sample(2000, 5)
+    b, cuts = block(x, y)
+    sizes = [len(c) + 1 for c in cuts]
+    parts = [{k: v[i::9] for k, v in b.items()} for i in range(9)]
+    tree = H.boost(H.Local([dict(p) for p in parts]), H.Boost(rounds=1), 32).trees[0]
+    leaves = np.nonzero(tree.feature < 0)[0].tolist()
+    run, local = H.Distributed(spark.sparkContext.parallelize(parts, 9), sizes), H.Local(parts)
+    try:
+        for msg in ({"minus": [], "top": None, "round": 0, "tree": None, "slots": [0], "bins": 32}, {"minus": [], "top": None, "round": 1, "tree": tree, "slots": leaves, "bins": 32}):
+            sent = run.summed(H._histograms, msg).collect()
+            assert len(sent) == 1 and sent[0].shape == (3, len(msg["slots"]), sum(sizes)) and sum(sizes) < 4 * 32
+            assert np.array_equal(run.total(H._histograms, msg), local.total(H._histograms, msg))
+    finally:
+        run.close()
+
+
+def test_rows_by_lists_reach_their_leaves():
+    x, y = sample(3000, 6)
+    b, _ = block(x, y)
+    tree = H.boost(H.Local([dict(b)]), H.Boost(rounds=1), 32).trees[0]
+    assert np.array_equal(H._values(tree, b), tree.value[tree.leaves(b["bins"])])
