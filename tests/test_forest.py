@@ -119,3 +119,26 @@ def test_one_class_and_gaps(spark):
     df = spark.createDataFrame([(i, float(i % 3), None if i % 2 else 1.0, 1) for i in range(40)] + [(99, 1.0, 1.0, None)], "k long, a double, b double, y int")
     f, counts = forest.grow_forest(df, ["a", "b"], 3, key="k", label="y", oob=True)
     assert len(f.feature) == 3 and counts["in_bag_0"] == 0
+
+
+@pytest.mark.parametrize("local, pairs", [(1 << 15, 1 << 19), (60, 500), (0, 1)])
+def test_subtrees_grown_in_tasks_and_scored_by_joins(spark, local, pairs, monkeypatch):
+    """Small nodes grown in tasks are those that levels of jobs give; the driver holds the nodes above them; scores are those of Spark ML's form."""
+    x, y = sample(600, 4)
+    df = frame(spark, x, y)
+    want, counts = forest.grow_forest(df, COLS, 5, "sqrt", key="k", label="y", oob=True)
+    monkeypatch.setattr(forest, "LOCAL", local)
+    monkeypatch.setattr(forest, "PAIRS", pairs)
+    f, got = forest.grow_forest(df, COLS, 5, "sqrt", key="k", label="y", oob=True)
+    assert got == counts and (f.table is None) == (local == 0)
+    if local:
+        assert len(f.top.feature) < len(f.feature) and (local > 60 or len(f.starts) > 1)
+    leaves = lambda g: forest._leaf_of(g, np.stack([binned(c, k) for c, k in zip(x.T, g.cuts)], axis=1), *np.divmod(np.arange(len(y) * 5), 5))
+    assert len(f.feature) == len(want.feature) and all(np.array_equal(getattr(f, c)[leaves(f)], getattr(want, c)[leaves(want)]) for c in ("w0", "w1"))
+    odd = df.union(df.limit(3)).union(spark.createDataFrame([(None, None, 1.0, float("nan"), 0.0, None)], df.schema))   # rows that come twice, gaps
+    scored = forest.ForestModel(f, COLS, 3).transform(odd).select("k", "p1", "prediction")
+    spark_form = PipelineModel([VectorAssembler(inputCols=COLS, outputCol="features"), want.model(spark, 4, 3)]).transform(df)
+    p = {r.k: (r.p, r.prediction) for r in spark_form.select("k", vector_to_array("probability")[1].alias("p"), "prediction").collect()}
+    rows = scored.collect()
+    assert len(rows) == 604 and sum(r.k is None for r in rows) == 1
+    assert all(np.isclose(r.p1, p[r.k][0]) and r.prediction == p[r.k][1] for r in rows if r.k is not None)
