@@ -142,3 +142,25 @@ def test_subtrees_grown_in_tasks_and_scored_by_joins(spark, local, pairs, monkey
     rows = scored.collect()
     assert len(rows) == 604 and sum(r.k is None for r in rows) == 1
     assert all(np.isclose(r.p1, p[r.k][0]) and r.prediction == p[r.k][1] for r in rows if r.k is not None)
+
+
+def test_class_weights_and_pipelines(spark, monkeypatch):
+    """Weights of classes as copies of their rows would count; a pipeline's forest is not gathered on the driver."""
+    from loanlab.operators import models
+    x, y = sample(500, 5)
+    df = frame(spark, x, y)
+    monkeypatch.setattr(forest, "LOCAL", 100)
+    f, _ = forest.grow_forest(df, COLS, 2, "all", max_depth=3, key="k", label="y", class_weights={0: 2.0, 1: 1.0})
+    bins = np.stack([binned(c, k) for c, k in zip(x.T, f.cuts)], axis=1)
+    seeds = np.array([r.s for r in df.select(forest.stream_seed("k", 111).alias("s"), "k").orderBy("k").collect()])
+    w = forest.weights(seeds, y, {0: 1.0, 1: 1.0}, 2)
+    for t in range(2):
+        leaf = forest._leaf_of(f, bins, np.arange(len(y)), np.full(len(y), t))
+        want = plain_leaves(bins, w[:, t] * np.where(y == 0, 2.0, 1.0), y, 3)
+        used = w[:, t] > 0
+        assert np.allclose((f.w1[leaf] / (f.w0[leaf] + f.w1[leaf]))[used], want[used])
+    monkeypatch.setattr(forest.GrownForest, "whole", lambda self: 1 / 0)
+    m = models.pipeline_of(COLS, "random_forest", sampler=None, label="y", key="k", weights={0: 1.2, 1: 1.0}, trees=7, grown=True)().fit(df)
+    got = models.predict(m, df).select("k", "prediction", "score").collect()
+    assert m.stages[-1].getNumTrees == 7 and len(got) == 500
+    assert np.mean([r.prediction == y[r.k] for r in got]) > 0.85
