@@ -164,3 +164,26 @@ def test_class_weights_and_pipelines(spark, monkeypatch):
     got = models.predict(m, df).select("k", "prediction", "score").collect()
     assert m.stages[-1].getNumTrees == 7 and len(got) == 500
     assert np.mean([r.prediction == y[r.k] for r in got]) > 0.85
+
+
+def test_tree_of_a_pipeline_is_grown(spark, monkeypatch):
+    """A pipeline's tree has every row once and looks at all features; neither Spark ML's fit nor the driver holds it whole."""
+    from pyspark.ml.classification import DecisionTreeClassifier
+
+    from loanlab.operators import models
+    x, y = sample(500, 6)
+    df = frame(spark, x, y)
+    monkeypatch.setattr(forest, "LOCAL", 100)
+    f, _ = forest.grow_forest(df, COLS, 1, "all", max_bins=32, bootstrap=False, key="k", label="y")
+    bins = np.stack([binned(c, k) for c, k in zip(x.T, f.cuts)], axis=1)
+    assert (f.w0[0], f.w1[0]) == ((y == 0).sum(), (y == 1).sum())
+    stump, _ = forest.grow_forest(df, COLS, 1, "all", max_depth=1, max_bins=32, bootstrap=False, key="k", label="y")
+    leaf = forest._leaf_of(stump, bins, np.arange(500), np.zeros(500, int))
+    assert np.allclose(stump.w1[leaf] / (stump.w0[leaf] + stump.w1[leaf]), plain_leaves(bins, np.ones(500), y, 1))
+    leaf = forest._leaf_of(f, bins, np.arange(500), np.zeros(500, int))
+    want = f.w1[leaf] / (f.w0[leaf] + f.w1[leaf])
+    monkeypatch.setattr(forest.GrownForest, "whole", lambda self: 1 / 0)
+    monkeypatch.setattr(DecisionTreeClassifier, "_fit", lambda *a: 1 / 0)
+    m = models.pipeline_of(COLS, "tree", sampler=None, label="y", key="k", grown=True)().fit(df)
+    got = models.predict(m, df).select("k", "prediction", "score").orderBy("k").collect()
+    assert np.allclose([r.score for r in got], want) and [r.prediction for r in got] == (want > 0.5).tolist()
