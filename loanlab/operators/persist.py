@@ -36,8 +36,11 @@ def save(model, path: str) -> str:
         model.final.write().overwrite().save(f"{path}/final")
         _save_meta(spark, path, "stack", list(model.bases), {})
     elif isinstance(model, IterativeTreeImputerModel):
-        rows = [(i, *[x.tolist() for x in (r.feature, r.bin, r.left, r.value)]) for i, r in enumerate(model.rounds)]
-        kind = "round int, feature array<long>, bin array<long>, left array<long>, value array<double>"
+        rows = [(i, *[x.tolist() for x in (r.feature, r.bin, r.left, r.value, r.small, r.small_tree, r.starts)]) for i, r in enumerate(model.rounds)]
+        kind = "round int, feature array<long>, bin array<long>, left array<long>, value array<double>, small array<long>, small_tree array<long>, starts array<long>"
+        for i, r in enumerate(model.rounds):
+            if r.table is not None:
+                r.table.write.mode("overwrite").parquet(f"{path}/subtrees-{i}")
         spark.createDataFrame(rows, kind).write.mode("overwrite").parquet(f"{path}/rounds")
         cuts = [(i, c.tolist()) for i, c in enumerate(model.cuts)]
         spark.createDataFrame(cuts, "col int, cuts array<double>").write.mode("overwrite").parquet(f"{path}/cuts")
@@ -54,7 +57,8 @@ def load(spark: SparkSession, path: str):
     if meta.kind == "pipeline":
         return PipelineModel.load(f"{path}/pipeline")
     if meta.kind == "imputer":
-        rounds = [Round(*[np.array(x) for x in (r.feature, r.bin, r.left, r.value)]) for r in spark.read.parquet(f"{path}/rounds").orderBy("round").collect()]   # the model
+        rounds = [Round(*[np.array(x) for x in (r.feature, r.bin, r.left, r.value)], *[np.array(x, np.int64) for x in (r.small, r.small_tree, r.starts)],
+                        spark.read.parquet(f"{path}/subtrees-{r.round}") if r.small else None) for r in spark.read.parquet(f"{path}/rounds").orderBy("round").collect()]   # the model
         cuts = [np.array(r.cuts, np.float64) for r in spark.read.parquet(f"{path}/cuts").orderBy("col").collect()]   # one row a column
         return IterativeTreeImputerModel(meta.names, facts["targets"], facts["means"], cuts, rounds, [tuple(h) for h in facts["history"]])
     parts = {n: PipelineModel.load(f"{path}/part-{n}") for n in meta.names}

@@ -91,3 +91,23 @@ def test_odd_columns(spark):
     assert all(r.a is not None and r.none is None and r.z == 2.0 and r.k == 5 for r in rows)
     assert impute.IterativeTreeImputer(["a"]).fit(df).transform(df).count() == 3
     assert model.transform(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("subset", ["sqrt", "all"])
+def test_subtrees_grown_in_tasks(spark, subset, monkeypatch, tmp_path):
+    """Deep trees whose small nodes grow in tasks are those that levels of jobs give; the driver holds the nodes above them; other columns and saved models stay."""
+    from loanlab.operators import persist
+    x = sample(700, 3)
+    df, rows = frame(spark, x).repartition(3), []
+    for local, pairs in ((0, 1), (1 << 15, 1 << 19), (60, 300)):
+        monkeypatch.setattr(impute, "LOCAL", local)
+        monkeypatch.setattr(impute, "PAIRS", pairs)
+        model = impute.IterativeTreeImputer(COLS, max_depth=None, feature_subset=subset, max_rounds=3, tol=0.0).fit(df)
+        assert all((r.table is None) == (local == 0) for r in model.rounds)
+        assert local != 1 << 15 or all(len(r.feature) == 2 for r in model.rounds)
+        assert local != 60 or all(len(r.starts) > 1 for r in model.rounds)
+        rows.append((model.transform(df).orderBy("k").collect(), [h[1] for h in model.history]))
+    assert rows[0][0] == rows[1][0] == rows[2][0] and rows[0][1] == rows[1][1] == rows[2][1]
+    assert all(r.other == "t" and (np.isnan(v).any() or tuple(r)[1:5] == tuple(v)) for r, v in zip(rows[0][0], x)) and model.transform(df.limit(0)).count() == 0
+    again = persist.load(spark, persist.save(model, str(tmp_path / "deep")))
+    assert again.transform(df).orderBy("k").collect() == rows[0][0]
