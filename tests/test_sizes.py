@@ -2,7 +2,7 @@
 import pytest
 
 from loanlab.operators import ensembles, models, selection
-from loanlab.plans import q_ml
+from loanlab.plans import q_ml, q_som
 
 FEATS = ["a", "b"]
 
@@ -66,3 +66,32 @@ def test_oob(made, monkeypatch):
         raise Stop
     monkeypatch.setattr(ensembles, "oob_forest", grown)
     stopped(q_ml.q_oob_score)
+
+
+def test_som_query_fits_all_classifiers(spark, monkeypatch):
+    """All single models without and with under-sampling, both ensembles, the balanced ensembles and the vote, on the coordinates alone."""
+    rows = spark.createDataFrame([(i, i % 2, i % 5, i % 3) for i in range(40)], "loan_id long, label int, gx int, gy int")
+    asked = {}
+
+    class Fitted:
+        def transform(self, df):
+            from pyspark.sql import functions as F
+            return df.withColumn("prediction", (F.col("gx") > 2).cast("double")).withColumn("p1", F.col("gx") / 4)
+
+    def fit_many(train, makers):
+        for name, make in makers.items():
+            m = make()
+            asked[name] = (type(m.est).__name__, m.sampler, tuple(m.feature_cols), getattr(m.est, "getMaxDepth", lambda: None)())
+        return {n: Fitted() for n in makers}, []
+    monkeypatch.setattr(models, "fit_many", fit_many)
+    for name in ("balanced_bagging", "balanced_random_forest"):
+        monkeypatch.setattr(ensembles, name, lambda rows, cols, **kw: Fitted())
+    monkeypatch.setattr(ensembles.EasyEnsemble, "fit", lambda self, rows, cols: Fitted())
+    got = {r.model: r.accuracy for r in q_som.som_classifiers(rows, rows, ["gx", "gy"]).collect()}
+    single, rest = ["LR", "DT", "ANN", "SVC", "SGDC"], ["HGBC", "RF"]
+    assert set(asked) == {*single, *rest, *[f"{n}_unsampled" for n in single]}
+    assert all(v[1] == (None if n.endswith("_unsampled") else "under") and v[2] == ("gx", "gy") for n, v in asked.items())
+    assert asked["DT"][3] == asked["DT_unsampled"][3] == asked["RF"][3] == models.MAX_TREE_DEPTH
+    assert set(got) == {f"{n}_on_SOM" for n in (*asked, "BalancedBagging", "BalancedRF", "EasyEnsemble", "HardVote")}
+    right = sum((i % 5 > 2) == (i % 2 == 1) for i in range(40)) / 40
+    assert all(abs(a - right) < 1e-9 for a in got.values())
