@@ -187,3 +187,82 @@ def test_tree_of_a_pipeline_is_grown(spark, monkeypatch):
     m = models.pipeline_of(COLS, "tree", sampler=None, label="y", key="k", grown=True)().fit(df)
     got = models.predict(m, df).select("k", "prediction", "score").orderBy("k").collect()
     assert np.allclose([r.score for r in got], want) and [r.prediction for r in got] == (want > 0.5).tolist()
+
+
+def test_cells_by_arrays_and_by_sorting_are_plain_sums(monkeypatch):
+    rng = np.random.default_rng(5)
+    n, trees, width = 300, 4, 9
+    block = {"node": rng.integers(0, 12, (n, trees)).astype(np.int32), "w": rng.integers(0, 4, (n, trees)).astype(np.uint8), "bins": rng.integers(0, width, (n, 5)).astype(np.uint8), "label": rng.integers(0, 2, n).astype(float)}
+    nodes = np.array([1, 4, 7, 11])
+    looks = np.array([[0, 3], [2, -1], [4, 1], [1, 0]])
+    plain = {}
+    for r in range(n):
+        for t in range(trees):
+            at = np.nonzero(nodes == block["node"][r, t])[0]
+            w = int(block["w"][r, t])
+            if len(at) and w:
+                for j, f in enumerate(looks[at[0]]):
+                    if f >= 0:
+                        c = plain.setdefault(int((at[0] * 2 + j) * width + block["bins"][r, f]), [0, 0])
+                        c[0] += w
+                        c[1] += w * int(block["label"][r])
+    want = [(c, *plain[c]) for c in sorted(plain)]
+    for dense, at_once in ((1 << 16, 1 << 22), (1 << 16, 64), (-(1 << 40), 1 << 22), (-(1 << 40), 64)):
+        monkeypatch.setattr(forest, "DENSE", dense)
+        monkeypatch.setattr(forest, "LOOKS_AT_ONCE", at_once)
+        got = forest._cells(block, forest.Level(nodes, looks), width)
+        assert list(zip(*[v.tolist() for v in got])) == want
+
+
+def test_tasks_send_the_cells_of_their_blocks_once():
+    """A task with several blocks sends each cell once, not once a block."""
+    import pyarrow as pa
+    rng = np.random.default_rng(6)
+    kinds = {"bins": np.uint8, "label": "<f8", "key": "<i8", "fold": "<i1", "w": np.uint8, "node": np.int32}
+
+    def block():
+        cols = {"bins": rng.integers(0, 3, (50, 2)), "label": rng.integers(0, 2, 50), "key": np.zeros(50), "fold": np.zeros(50), "w": np.ones((50, 1)), "node": np.zeros((50, 1))}
+        return {"n": 50, **{c: v.astype(kinds[c]).tobytes() for c, v in cols.items()}}
+    batch = pa.RecordBatch.from_pylist([block() for _ in range(20)])
+    level = forest.Level(np.array([0]), np.array([[0, 1]]))
+    out = list(forest._dealt(level, 1, 4, 1)([batch]))
+    assert sum(len(x) for b in out for x in b.column("cell").to_pylist()) == 6 * 8
+    assert sum(np.frombuffer(x, np.int64).sum() for b in out for x in b.column("n").to_pylist()) == 2 * 20 * 50
+
+
+def test_importances_and_node_rows_are_those_of_spark(spark, monkeypatch):
+    """Of upper nodes and subtrees alike, without the whole forest on the driver."""
+    from loanlab.operators import explain
+    x, y = sample(500, 8)
+    monkeypatch.setattr(forest, "LOCAL", 60)
+    monkeypatch.setattr(forest, "PAIRS", 150)
+    f, _ = forest.grow_forest(frame(spark, x, y), COLS, n_trees=6, key="k", label="y")
+    m = forest.ForestModel(f, COLS)
+    assert len(f.starts) > 2 and (f.top.left >= 0).any()
+    with monkeypatch.context() as p:
+        p.setattr(forest.GrownForest, "whole", lambda self: pytest.fail("whole forest on the driver"))
+        got = m.featureImportances.toArray()
+        nodes = {(r.tree, r.id): r for r in explain.node_table(spark, m).collect()}
+        top = explain.tree_nodes(spark, m, COLS, tree=2, max_depth=3).collect()
+    spark_model = m.spark_model()
+    assert np.allclose(got, spark_model.featureImportances.toArray(), atol=1e-9)
+    want = {(r.tree, r.id): r for r in explain.node_table(spark, spark_model.setFeaturesCol("features")).collect()}
+    assert nodes.keys() == want.keys()
+    for at, r in want.items():
+        mine = nodes[at]
+        assert (mine.left, mine.right, mine.feature_index, mine["count"], mine.prediction, mine.threshold) == (r.left, r.right, r.feature_index, r["count"], r.prediction, r.threshold)
+        assert abs(mine.impurity - r.impurity) < 1e-9 and abs(mine.gain - r.gain) < 1e-9
+    assert [tuple(r)[:4] for r in top] == [tuple(r)[:4] for r in explain.tree_nodes(spark, spark_model, COLS, tree=2, max_depth=3).collect()]
+
+
+def test_explained_forests_are_grown(monkeypatch):
+    from loanlab.operators import models, selection
+    from loanlab.plans import q_ml
+    made = []
+    monkeypatch.setattr(q_ml, "model_table", lambda *a: (None, COLS))
+    monkeypatch.setattr(q_ml, "split_parts", lambda *a: (None, None))
+    monkeypatch.setattr(models.ResampledPipeline, "fit", lambda self, df: made.append(self.grown))
+    q_ml._forest(None, None)
+    monkeypatch.setattr(selection, "compare_feature_sets", lambda train, test, sets, makers: made.append(makers["RF"](COLS).grown))
+    q_ml.q_feature_set_comparison(None, None)
+    assert made == [True, True]
